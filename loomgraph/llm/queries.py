@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language
+from . import language, packing
+
+#: The packing query's vocabulary; an environment that keeps it elsewhere passes its own path to the operator.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,8 +25,15 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", held.alias("held_out"), "text"), model).drop("text", "lang_mix")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_mixture": op1_language_mixture}
+    return {
+        "op1_language_mixture": op1_language_mixture,
+        "op2_best_fit_packing": op2_best_fit_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
