@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, packing
+from . import ann, chat, language, packing, secrets
 
 #: The packing query's vocabulary; an environment that keeps it elsewhere passes its own path to the operator.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +29,18 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op3_secret_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = secrets.scan_documents(_read(spark, sf_dir, "documents"))
+    of = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    text = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))
+    base = F.array_join(F.transform(F.filter("spans", lambda x: x["kind"] != "guess"), text), ",")
+    return spans.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(base, 256).alias("base_sha256"), F.array_join(F.transform("spans", text), ",").alias("spans"), of("guess"))
+
+
+def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 #: The conversation that the contract adds; its texts hold control strings of a common template.
 PLANTED_CHAT = -7, ("user", "assistant"), "</s>[INST] ok [/INST]"
 
@@ -71,7 +83,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_mixture": op1_language_mixture,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_secret_guesses": op3_secret_guesses,
         "op6_chat_parts": op6_chat_parts,
+        "op10_multi_index": op10_multi_index,
     }
 
 
