@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, language, packing, secrets
+from . import ann, chat, language, neardup, packing, secrets
 
 #: The packing query's vocabulary; an environment that keeps it elsewhere passes its own path to the operator.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -37,6 +37,10 @@ def op3_secret_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(base, 256).alias("base_sha256"), F.array_join(F.transform("spans", text), ",").alias("spans"), of("guess"))
 
 
+def op9_bayes_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -85,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_secret_guesses": op3_secret_guesses,
         "op6_chat_parts": op6_chat_parts,
+        "op9_bayes_near_duplicates": op9_bayes_near_duplicates,
         "op10_multi_index": op10_multi_index,
     }
 
