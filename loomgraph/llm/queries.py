@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, language, neardup, packing, secrets
+from . import ann, chat, language, neardup, packing, recompress, secrets
 
 #: The packing query's vocabulary; an environment that keeps it elsewhere passes its own path to the operator.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -37,6 +37,11 @@ def op3_secret_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(base, 256).alias("base_sha256"), F.array_join(F.transform("spans", text), ",").alias("spans"), of("guess"))
 
 
+def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return recompress.remove_repeats(docs, digest=True).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_bayes_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -88,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_mixture": op1_language_mixture,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_secret_guesses": op3_secret_guesses,
+        "op4_recompression": op4_recompression,
         "op6_chat_parts": op6_chat_parts,
         "op9_bayes_near_duplicates": op9_bayes_near_duplicates,
         "op10_multi_index": op10_multi_index,
