@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, language, neardup, packing, recompress, secrets
+from . import ann, chat, language, neardup, packing, quality, recompress, secrets
 
 #: The packing query's vocabulary; an environment that keeps it elsewhere passes its own path to the operator.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -42,6 +42,45 @@ def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.remove_repeats(docs, digest=True).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_read(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(0)) AS h, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT r, doc_id, h, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d
+), tri AS (
+  SELECT r, unnest(range(1, len(words) - 1)) AS i, words FROM w WHERE len(words) >= 3
+), seen AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) AS n FROM tri
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM seen WHERE n > 1) GROUP BY r
+), line AS (
+  SELECT r, h, unnest(lines) AS raw FROM w
+), norm AS (
+  SELECT r, h, regexp_replace(lower(trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), '[0-9]+', '0', 'g') AS x,
+    len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS words FROM line
+), common AS (
+  SELECT h, x FROM (SELECT DISTINCT r, h, x FROM norm) GROUP BY h, x HAVING count(*) > 20
+), removed AS (
+  SELECT r, sum(words)::BIGINT AS n FROM norm JOIN common USING (h, x) GROUP BY r
+), m AS (
+  SELECT w.r, doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+    coalesce(removed.n, 0)::BIGINT AS n_removed_words
+  FROM w LEFT JOIN covered USING (r) LEFT JOIN removed USING (r)
+), f AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_words - n_removed_words >= 0.5 * n_words AS kept, n_removed_words FROM f
+"""
+
+
 def op9_bayes_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -95,10 +134,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_secret_guesses": op3_secret_guesses,
         "op4_recompression": op4_recompression,
         "op6_chat_parts": op6_chat_parts,
+        "op7_line_frequency": op7_line_frequency,
         "op9_bayes_near_duplicates": op9_bayes_near_duplicates,
         "op10_multi_index": op10_multi_index,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_parts": OP6_SQL}
+    return {"op6_chat_parts": OP6_SQL, "op7_line_frequency": OP7_SQL}
