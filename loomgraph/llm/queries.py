@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, language, neardup, packing, quality, recompress, secrets
+from . import ann, chat, language, neardup, packing, pii, quality, recompress, secrets
 
 #: The packing query's vocabulary; an environment that keeps it elsewhere passes its own path to the operator.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -29,12 +29,17 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), WORD_BPE)
 
 
-def op3_secret_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = secrets.scan_documents(_read(spark, sf_dir, "documents"))
-    of = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+def _span_digests(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
+    """Counts by base kind, digest of the base spans, and all spans as text, from an array of kind, start, end."""
     text = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))
-    base = F.array_join(F.transform(F.filter("spans", lambda x: x["kind"] != "guess"), text), ",")
-    return spans.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(base, 256).alias("base_sha256"), F.array_join(F.transform("spans", text), ",").alias("spans"), of("guess"))
+    joined = lambda spans: F.array_join(F.transform(spans, text), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    own = F.filter("spans", lambda x: x["kind"].isin(*base))
+    return found.select("doc_id", *map(count, base), F.sha2(joined(own), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op3_secret_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digests(secrets.scan_documents(_read(spark, sf_dir, "documents")), ("assign", "access", "hex"))
 
 
 def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +86,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digests(pii.find(_read(spark, sf_dir, "documents"))[0], pii.BASE)
+
+
 def op9_bayes_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -135,6 +144,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_recompression": op4_recompression,
         "op6_chat_parts": op6_chat_parts,
         "op7_line_frequency": op7_line_frequency,
+        "op8_weak_supervision": op8_weak_supervision,
         "op9_bayes_near_duplicates": op9_bayes_near_duplicates,
         "op10_multi_index": op10_multi_index,
     }
