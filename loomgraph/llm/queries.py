@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, language, neardup, packing, pii, quality, recompress, secrets
+from . import ann, chat, language, neardup, packing, pieces, pii, quality, recompress, secrets
 
-#: The packing query's vocabulary; an environment that keeps it elsewhere passes its own path to the operator.
+#: The queries' vocabularies; an environment that keeps them elsewhere passes its own paths to the operators.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -102,6 +103,11 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 PLANTED_CHAT = -7, ("user", "assistant"), "</s>[INST] ok [/INST]"
 
 
+def op5_max_plus_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode_documents(_read(spark, sf_dir, "documents"), PIECES)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids_crc32", "round_trip")
+
+
 def op6_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     conv, roles, text = PLANTED_CHAT
@@ -142,6 +148,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_secret_guesses": op3_secret_guesses,
         "op4_recompression": op4_recompression,
+        "op5_max_plus_pieces": op5_max_plus_pieces,
         "op6_chat_parts": op6_chat_parts,
         "op7_line_frequency": op7_line_frequency,
         "op8_weak_supervision": op8_weak_supervision,

@@ -178,6 +178,28 @@ def scan_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return source.mapInArrow(run, f"`{key}` {kind}, spans array<struct<kind:string,start:bigint,end:bigint,guesses:double>>")
 
 
+def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with each span in ``text`` replaced by ``mark``, overlapping spans together; a null text stays null."""
+    at = docs.columns.index(text)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+
+    def clean(value: str | None) -> str | None:
+        if not value:
+            return value
+        out, done = [], 0
+        for _, start, end in sorted(scan(value), key=lambda x: (x[1], x[2])):
+            if start >= done:
+                out += [value[done:start], mark]
+            done = max(done, end)
+        return "".join([*out, value[done:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.set_column(at, text, pa.array([clean(x.as_py()) for x in batch.column(at)], pa.string()))
+
+    return docs.mapInArrow(run, schema)
+
+
 def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 

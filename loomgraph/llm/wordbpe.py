@@ -41,7 +41,7 @@ class WordBpe:
         keys = left << 20 | right
         _, first = np.unique(keys[::-1], return_index=True)
         rank = len(keys) - 1 - first  # a pair that is listed twice keeps its last rank
-        self.table = _Slots(keys[rank], rank)
+        self.table = Slots(keys[rank], rank)
         self.made = made
         chars = _byte_chars()
         self.inner = np.array([vocab[c] for c in chars], np.int64)
@@ -137,7 +137,7 @@ class WordBpe:
 _NONE = np.int64(1 << 40)
 
 
-class _Slots:
+class Slots:
     """A static hash table of 64-bit keys for whole arrays of look-ups."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
