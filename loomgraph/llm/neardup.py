@@ -9,8 +9,10 @@
 3. Survivors are verified exactly on the full sets.  A first round verifies the
    maximum spanning forest of each bucket's survivors, which joins nearly all
    that belongs together; the second verifies every survivor that still lies
-   between two components.  After it no surviving pair between components is
-   left unverified, so components are as if all pairs had been verified.
+   between two components, in matrix products of whole blocks, each of which
+   gives back a spanning forest of its true links.  After it no surviving pair
+   between components is left unverified, so components are as if all pairs had
+   been verified, yet no more rows are made than buckets have members.
 
 Buckets are cut into blocks by set size and each pair of blocks is one task's
 group, so a large group of copies spreads; blocks whose sizes alone exclude the
@@ -117,9 +119,9 @@ def bands(classes: DataFrame) -> DataFrame:
                 h = np.full(len(docs), b + 1, U64)
                 for r in range(ROWS):
                     h = mix(h * U64(0x9E3779B97F4A7C15) + sig[:, b * ROWS + r])
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(docs)], names=["bucket", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(docs), b, np.int32)), pa.array(docs)], names=["bucket", "nth", "doc"])
 
-    return classes.select("doc", "sig").mapInArrow(run, "bucket long, doc long")
+    return classes.select("doc", "sig").mapInArrow(run, "bucket long, nth int, doc long")
 
 
 def _survivors(n_a: np.ndarray, sig_a: np.ndarray, n_b: np.ndarray, sig_b: np.ndarray, open_: np.ndarray, least: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,54 +158,128 @@ def _forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray, n: int) -> np.ndar
     return np.array(out, int)
 
 
-def candidates(members: DataFrame, forest: bool) -> DataFrame:
-    """Pairs ``a`` < ``b`` that survive within blocks of ``members`` (bucket, left, right, side, doc, n, sig, comp).
+class _Group:
+    """One pair of blocks: its members by side, and which pairs of them are open (between components)."""
 
-    With ``forest`` a maximum spanning forest of each group's survivors, else
-    all survivors between different components.
+    def __init__(self, table: pa.Table):
+        side = table.column("side").to_numpy()
+        order = np.lexsort((table.column("doc").to_numpy(), side))
+        self.table = table
+        self.doc, self.n, self.comp = (table.column(c).to_numpy()[order] for c in ("doc", "n", "comp"))
+        self.order, side = order, side[order]
+        # side 0 and 1: two blocks, all pairs between; side 2: one block, all pairs within
+        within = bool((side == 2).all())
+        self.a = np.arange(len(side)) if within else np.flatnonzero(side == 0)
+        self.b = self.a if within else np.flatnonzero(side == 1)
+        self.open = np.triu(np.ones((len(self.a), len(self.b)), bool), 1) if within else np.ones((len(self.a), len(self.b)), bool)
+        self.open &= self.comp[self.a][:, None] != self.comp[self.b][None, :]
+
+    def signatures(self) -> np.ndarray:
+        raw = self.table.column("sig").to_pylist()
+        return np.frombuffer(b"".join(raw), np.uint32).reshape(len(raw), HASHES)[self.order]
+
+    def survivors(self, least: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Members i and j, agreements of the surviving pairs, and all signatures."""
+        sig = self.signatures()
+        i, j, same = _survivors(self.n[self.a], sig[self.a], self.n[self.b], sig[self.b], self.open, least)
+        return self.a[i], self.b[j], same, sig
+
+
+def forest(members: DataFrame) -> DataFrame:
+    """Pairs ``a`` < ``b``: a maximum spanning forest of the surviving pairs of each group of ``members`` (see ``blocks``)."""
+    least = least_agreements()
+
+    def run(table: pa.Table) -> pa.Table:
+        group = _Group(table)
+        i, j, same, _ = group.survivors(least)
+        keep = _forest(i, j, same, len(group.doc))
+        x, y = group.doc[i[keep]], group.doc[j[keep]]
+        return pa.table([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    return members.groupBy("bucket", "left", "right").applyInArrow(run, "a long, b long").distinct()
+
+
+def crossing(members: DataFrame) -> DataFrame:
+    """The ``members`` of each group that have a surviving pair across components, without signatures.
+
+    A pair that shares several buckets counts in the first of them only.
     """
     least = least_agreements()
 
     def run(table: pa.Table) -> pa.Table:
-        doc, n, comp = (table.column(c).to_numpy() for c in ("doc", "n", "comp"))
-        side = table.column("side").to_numpy()
-        order = np.lexsort((doc, side))
-        doc, n, comp, side = doc[order], n[order], comp[order], side[order]
-        raw = table.column("sig").to_pylist()
-        sig = np.frombuffer(b"".join(raw), np.uint32).reshape(len(raw), HASHES)[order]
-        # side 0 and 1: two blocks, all pairs between; side 2: one block, all pairs within
-        a = np.flatnonzero(side != 1)
-        b = a if len(a) == len(side) and (side == 2).all() else np.flatnonzero(side == 1)
-        open_ = np.triu(np.ones((len(a), len(b)), bool), 1) if b is a else np.ones((len(a), len(b)), bool)
-        open_ &= comp[a][:, None] != comp[b][None, :]
-        i, j, same = _survivors(n[a], sig[a], n[b], sig[b], open_, least)
-        i, j = a[i], b[j]
-        if forest:
-            keep = _forest(i, j, same, len(doc))
-            i, j = i[keep], j[keep]
-        x, y = doc[i], doc[j]
+        group = _Group(table)
+        i, j, _, sig = group.survivors(least)
+        nth = table.column("nth")[0].as_py()
+        if nth and len(i):
+            first = np.ones(len(i), bool)
+            for b in range(nth):
+                part = slice(b * ROWS, (b + 1) * ROWS)
+                first &= ~(sig[i, part] == sig[j, part]).all(axis=1)
+            i, j = i[first], j[first]
+        held = np.zeros(len(group.doc), bool)
+        held[i] = held[j] = True
+        rows = group.order[held]
+        return table.select(["bucket", "left", "right", "side", "doc", "n", "comp"]).take(pa.array(rows))
+
+    return members.groupBy("bucket", "left", "right").applyInArrow(run, "bucket long, left int, right int, side int, doc long, n long, comp long")
+
+
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Exact sizes of the intersections of all sets in ``a`` with all in ``b``, as products of 0/1 matrices over slices of names."""
+    both = [*a, *b]
+    sizes = [len(x) for x in both]
+    names, back, counts = np.unique(np.concatenate(both), return_inverse=True, return_counts=True)
+    number = np.cumsum(counts > 1) - 1  # only names in two sets can be shared
+    owner = np.repeat(np.arange(len(both)), sizes)
+    shared = counts[back] > 1
+    owner, place = owner[shared], number[back[shared]]
+    out = np.zeros((len(a), len(b)), np.float32)
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    for low in range(0, int(place[-1]) + 1 if len(place) else 0, 4096):
+        s = slice(*np.searchsorted(place, [low, low + 4096]))
+        part = np.zeros((len(both), 4096), np.float32)
+        part[owner[s], place[s] - low] = 1
+        out += part[: len(a)] @ part[len(a) :].T
+    return out.astype(np.int64)
+
+
+def cross_links(members: DataFrame) -> DataFrame:
+    """Links ``a`` < ``b`` that join components: a spanning forest of the true links of each group of ``members`` (with ``names``)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        group = _Group(table)
+        raw = table.column("names").to_pylist()
+        sets = [np.frombuffer(raw[k], U64) for k in group.order]
+        shared = overlaps([sets[k] for k in group.a], [sets[k] for k in group.b]) if len(group.a) and len(group.b) else np.zeros(group.open.shape, np.int64)
+        whole = group.n[group.a][:, None] + group.n[group.b][None, :] - shared
+        i, j = np.nonzero(group.open & (100 * shared >= THRESHOLD * whole))
+        i, j = group.a[i], group.b[j]
+        _, comp = np.unique(group.comp, return_inverse=True)
+        keep = _forest(comp[i], comp[j], np.ones(len(i)), len(group.doc))
+        x, y = group.doc[i[keep]], group.doc[j[keep]]
         return pa.table([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     return members.groupBy("bucket", "left", "right").applyInArrow(run, "a long, b long").distinct()
 
 
 def blocks(members: DataFrame) -> DataFrame:
-    """Deal the members of each bucket (bucket, size, low, high, doc, n, sig, comp) to pairs of blocks.
+    """Deal the members of each bucket (bucket, nth, size, doc, n, sig, comp) to pairs of blocks.
 
     Blocks are ranges of log set size cut further by hash, about ``BLOCK``
     members each; a pair of size ranges too far apart for the threshold is left out.
     """
     step = math.log(100 / THRESHOLD) * 1.0001  # wider than a pair at the threshold, rounding included
-    band = F.floor(F.log(F.col("n").cast("double")) / step).cast("int")
+    size_range = F.floor(F.log(F.col("n").cast("double")) / step).cast("int")
     cuts = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     # small buckets are one block; in larger ones only equal and adjacent size ranges can hold pairs
-    own = F.when(F.col("size") <= BLOCK, F.lit(0)).otherwise(band * cuts + F.pmod(F.xxhash64("doc"), cuts).cast("int"))
-    rows = members.withColumn("cuts", cuts).withColumn("band", band).withColumn("own", own)
-    near = F.when(F.col("size") <= BLOCK, F.array(F.lit(0))).otherwise(F.sequence((F.col("band") - 1) * F.col("cuts"), (F.col("band") + 2) * F.col("cuts") - 1))
+    own = F.when(F.col("size") <= BLOCK, F.lit(0)).otherwise(size_range * cuts + F.pmod(F.xxhash64("doc"), cuts).cast("int"))
+    rows = members.withColumn("cuts", cuts).withColumn("range", size_range).withColumn("own", own)
+    near = F.when(F.col("size") <= BLOCK, F.array(F.lit(0))).otherwise(F.sequence((F.col("range") - 1) * F.col("cuts"), (F.col("range") + 2) * F.col("cuts") - 1))
     rows = rows.withColumn("other", F.explode(near))
     left, right = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).cast("int")
-    return rows.select("bucket", left.alias("left"), right.alias("right"), side.alias("side"), "doc", "n", "sig", "comp")
+    return rows.select("bucket", left.alias("left"), right.alias("right"), side.alias("side"), "nth", "doc", "n", "sig", "comp")
 
 
 def _filter(pairs: DataFrame) -> np.ndarray:
@@ -264,8 +340,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shared = slots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = materialise(slots.join(shared, "bucket"), "members")
     full = members.join(classes.select("doc", "n", "sig"), "doc")
-    first = materialise(candidates(blocks(full.withColumn("comp", F.col("doc"))), forest=True), "forest")
-    sets = materialise(sets_of(docs, key, text, first).join(first.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "doc", "left_semi").dropDuplicates(["doc"]), "sets")
+    first = materialise(forest(blocks(full.withColumn("comp", F.col("doc")))), "forest")
+    sets = sets_of(docs, key, text, first).join(first.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "doc", "left_semi")
+    sets = materialise(sets.dropDuplicates(["doc"]), "sets")
     links = materialise(verify(first, sets), "links")
     parts = materialise(connected(links), "parts")
     # buckets that still hold several components among the documents with any survivor
@@ -273,8 +350,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rest = members.join(alive, "doc")
     open_ = rest.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
     rest = rest.join(open_, "bucket").join(classes.select("doc", "n", "sig"), "doc")
-    second = materialise(candidates(blocks(rest), forest=False).join(first, ["a", "b"], "left_anti"), "crossing")
-    links = links.union(verify(second, sets))
+    second = cross_links(crossing(blocks(rest)).join(sets, "doc"))
+    links = links.union(materialise(second, "cross-links"))
     final = connected(links).select(F.col("node").alias("doc"), "component")
     named = classes.join(final, "doc", "left").select("name", F.coalesce("component", "doc").alias("component"))
     out = found.select("doc", "n", "name").join(named, "name", "left").withColumn("component", F.coalesce("component", "doc"))
