@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import catalogue
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalogue.QUERIES["q_relations"](spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(catalogue.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(catalogue.ORACLES)
