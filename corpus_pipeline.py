@@ -13,6 +13,8 @@ from loomgraph.llm import language, neardup, packing, recompress, secrets
 from loomgraph.llm.queries import WORD_BPE
 from loomgraph.llm.store import materialise
 
+#: Rows that go to a Python worker at a time; texts are long, and two workers share an executor's memory with its heap.
+ROWS_AT_A_TIME = 1_000
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -34,11 +36,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     docs = docs.select(*COLUMNS)
     found = materialise(neardup.near_duplicates(docs).select("doc_id", "kept"), "kept")
     again = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    gone = found.where("NOT kept").select("doc_id")
-    if again.isEmpty():  # what goes is the smaller side, so the adaptive planner may send it to the texts
-        return docs.join(gone, "doc_id", "left_anti")
-    once = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return docs.join(gone.union(again), "doc_id", "left_anti").unionByName(once)
+    gone = found.where("NOT kept").select("doc_id").union(again)
+    # texts that a filter of fixed size clears stay where they are; only the others meet the keys that go
+    clear, rest = neardup.split_by_filter(docs, "doc_id", gone)
+    kept = clear.unionByName(rest.join(gone, "doc_id", "left_anti").select(*COLUMNS))
+    if again.isEmpty():
+        return kept
+    return kept.unionByName(rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS))
 
 
 def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,12 +63,20 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, WORD_BPE)
 
 
+def _bounded(stage):
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_A_TIME))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("language_id", language_id),
-    ("near_duplicates", near_duplicates),
-    ("long_repeats", long_repeats),
-    ("secret_scan", secret_scan),
-    ("packing", packed),
+    ("language_id", _bounded(language_id)),
+    ("near_duplicates", _bounded(near_duplicates)),
+    ("long_repeats", _bounded(long_repeats)),
+    ("secret_scan", _bounded(secret_scan)),
+    ("packing", _bounded(packed)),
 ]
 #: Language mixtures, guess costs and tokenizers have no SQL form; tests hold run() against a brute-force version.
 ORACLE_SQL = None

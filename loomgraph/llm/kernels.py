@@ -9,7 +9,10 @@ every executor and stable when a lost task is run again.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 
 U64 = np.uint64
 _MASK = (1 << 64) - 1
@@ -17,6 +20,15 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BASE = 0xD6E8FEB86659FD93 | 1
 
 
+def trim() -> None:
+    """Gives freed memory back to the system: Python workers live on between stages and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser: a bijection of 64-bit words."""
     x = x ^ (x >> U64(30))

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .kernels import trim
+
 #: Hashed trigram space; the model holds this many floats a language, whatever the corpus.
 SPACE = 1 << 16
 #: Expected upper bound of labelled training rows a language (a hash of the key picks them).
@@ -165,6 +167,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
                 pa.array([x[1] for x in found], pa.float64()),
                 pa.array([[{"lang": k, "share": p} for k, p in x[2]] for x in found], mix_type),
             ]
+            trim()
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*kept, "lang_pred", "score", "lang_mix"])
 
     return source.mapInArrow(answer, f"{schema}, lang_pred string, score double, lang_mix array<struct<lang:string,share:double>>")

@@ -31,11 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
-from .kernels import U64, mix, sequence_hash, window_hashes, word_bounds, word_hashes
+from .kernels import U64, mix, sequence_hash, trim, window_hashes, word_bounds, word_hashes
 from .store import materialise
 
 SHINGLE = 5
@@ -100,6 +100,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
                 sums = np.array([np.bitwise_xor.reduce(mix(found)), np.add.reduce(mix(found ^ U64(0xA5A5A5A5A5A5A5A5)))]) if len(found) else None
                 name.append(None if sums is None else sums.tobytes())
                 sig.append(signature(found).tobytes() if len(found) else None)
+            trim()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(name, pa.binary()), pa.array(sig, pa.binary())], names=["doc", "n", "name", "sig"])
 
     source = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
@@ -282,30 +283,55 @@ def blocks(members: DataFrame) -> DataFrame:
     return rows.select("bucket", left.alias("left"), right.alias("right"), side.alias("side"), "nth", "doc", "n", "sig", "comp")
 
 
-def _filter(pairs: DataFrame) -> np.ndarray:
-    """A fixed-size bitmap of the keys in ``pairs``."""
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("k")).select(F.shiftrightunsigned(F.xxhash64("k"), 64 - FILTER_BITS).alias("h"))
-    words = keys.groupBy(F.shiftright("h", 5).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 31 AS INT))")).alias("bits")).toArrow()
+def _slot(key: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(key), 64 - FILTER_BITS)
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """A fixed-size bitmap of a one-column table of keys."""
+    slots = keys.select(_slot(F.col(keys.columns[0]).cast("long")).alias("h"))
+    words = slots.groupBy(F.shiftright("h", 5).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 31 AS INT))")).alias("bits")).toArrow()
     out = np.zeros(1 << (FILTER_BITS - 5), np.int64)
     out[words.column("w").to_numpy()] = words.column("bits").to_numpy()
     return out.astype(np.uint32)
 
 
+def _maybe(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return ((bitmap[slots >> 5] >> (slots & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)
+
+
+def split_by_filter(docs: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` whose key is surely not among ``keys``, and the rest: a few more than those whose key is."""
+    shared = docs.sparkSession.sparkContext.broadcast(_filter(keys))
+    names = docs.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+
+    def part(wanted: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    held = _maybe(shared.value, batch.column(batch.num_columns - 1).to_numpy()) == wanted
+                    yield batch.select(names).filter(pa.array(held))
+
+        return docs.withColumn("_slot", F.coalesce(_slot(F.col(key).cast("long")), F.lit(0))).mapInArrow(run, schema)
+
+    return part(False), part(True)
+
+
 def sets_of(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
     """``doc`` and ``names`` (its sorted set, binary) for the documents in ``pairs`` and, by filter chance, a few others."""
-    shared = docs.sparkSession.sparkContext.broadcast(_filter(pairs))
+    shared = docs.sparkSession.sparkContext.broadcast(_filter(pairs.select(F.explode(F.array("a", "b")))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            h = batch.column(2).to_numpy()
-            take = np.flatnonzero((shared.value[h >> 5] >> (h & 31).astype(np.uint32)) & np.uint32(1))
+            take = np.flatnonzero(_maybe(shared.value, batch.column(2).to_numpy()))
             names = [shingle_set(batch.column(1)[int(k)].as_py()).tobytes() for k in take]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(take)), pa.array(names, pa.binary())], names=["doc", "names"])
 
     own = F.col(key).cast("long")
-    source = docs.where(F.col(key).isNotNull()).select(own.alias("doc"), F.col(text).alias("text"), F.shiftrightunsigned(F.xxhash64(own), 64 - FILTER_BITS).alias("h"))
+    source = docs.where(F.col(key).isNotNull()).select(own.alias("doc"), F.col(text).alias("text"), _slot(own).alias("h"))
     return source.mapInArrow(run, "doc long, names binary")
 
 
@@ -321,6 +347,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 both.sort(kind="stable")
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
                 keep.append(100 * shared >= THRESHOLD * (len(x) + len(y) - shared))
+            trim()
             keep = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
 

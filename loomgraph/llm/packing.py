@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .kernels import trim
 from .store import materialise, partitions
 from .wordbpe import WordBpe
 
@@ -131,6 +132,7 @@ def tokenise(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "
                     room -= len(texts[-1])
                 yield rows(batch.column(0).slice(at, len(texts)), encoder.encode(texts), batch.schema.field(0).type)
                 at += len(texts)
+            trim()
 
     def rows(keys: pa.Array, found: list[np.ndarray], key_type: pa.DataType) -> pa.RecordBatch:
         owner, piece, start, length, crc, ids = [], [], [], [], [], []
