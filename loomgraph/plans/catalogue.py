@@ -147,7 +147,7 @@ def _offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_segments(rows).groupBy("source_id").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("char_end").alias("ends"), F.sum("char_start").alias("starts"))
 
 
-_ABOUT = "Supplier#000000001"
+_ABOUT = "small ring"
 _SPARQL = """
 SELECT ?subject ?object (MAX(?conf) AS ?best) (COUNT(DISTINCT ?stmt) AS ?n) WHERE {
   ?stmt rdf:subject ?s ; rdf:predicate ont:caused_by ; rdf:object ?o .
@@ -160,7 +160,8 @@ _CLASS_SCHEMA = [(f"{model.SNOMED}91", RDFS + "subClassOf", ONT + "Drug"), (ONT
 
 QUERIES: dict[str, Query] = {
     "quads": lambda spark, d: adapters.quads(spark, d).select("s", "p", "o", "o_kind", "o_dt", "g"),
-    **{f"q_{name}": _named(name) for name in named.NAMED if name not in ("inferred", "figures", "instances")},
+    **{f"q_{name}": _named(name) for name in named.NAMED if name not in ("inferred", "figures", "instances", "concepts")},
+    "q_concepts": _over(lambda quads: named.run("concepts", quads).withColumn("mentions", F.col("mentions").cast("double"))),  # a nullable count
     "q_instances": _named("instances"),
     "q_inferred": lambda spark, d: named.run("inferred", _with_inferred(spark, d)),
     "q_about": _over(lambda quads: named.about(graphs.load_graph(quads, skip=("inferred",)), _ABOUT)),
@@ -193,12 +194,12 @@ _RELATION_ROWS = f"""rows_ AS (
 ), stated AS (
   SELECT a.s AS stmt, a.o AS s, b.o AS p, c.o AS o FROM triples a JOIN triples b ON a.s = b.s AND b.p = '{RDF}predicate' JOIN triples c ON a.s = c.s AND c.p = '{RDF}object'
   WHERE a.p = '{RDF}subject'
-), conf AS (SELECT s AS stmt, o::DOUBLE AS conf FROM triples WHERE p = '{ONT}confidence')"""
+), conf AS (SELECT s AS stmt, try_cast(o AS DOUBLE) AS conf FROM triples WHERE p = '{ONT}confidence')"""
 _CLAIM_ROWS = f"""claim AS (
-  SELECT {_LOCAL.format('pol.o')} AS polarity, coalesce(al.l, ab.o) AS about, coalesce(tl.l, ta.o, '') AS target, {_LOCAL.format('at.o')} AS "assertionType"
+  SELECT {_LOCAL.format('pol.o')} AS polarity, coalesce(al.l, ab.o) AS about, coalesce(tl.l, ta.o, '') AS target, {_LOCAL.format('aty.o')} AS "assertionType"
   FROM triples x JOIN triples ab ON ab.s = x.s AND ab.p = '{ONT}about' JOIN triples pol ON pol.s = x.s AND pol.p = '{ONT}polarity'
   LEFT JOIN triples ta ON ta.s = x.s AND ta.p = '{ONT}target' LEFT JOIN label tl ON tl.s = ta.o
-  LEFT JOIN triples at ON at.s = x.s AND at.p = '{ONT}assertionType' LEFT JOIN label al ON al.s = ab.o
+  LEFT JOIN triples aty ON aty.s = x.s AND aty.p = '{ONT}assertionType' LEFT JOIN label al ON al.s = ab.o
   WHERE x.p = '{TYPE}' AND x.o = '{ONT}ClinicalAssertion'
 )"""
 _RELATIONS = "SELECT subject, predicate, object, max(conf) AS confidence, count(DISTINCT st.stmt) AS extractions FROM rows_ r LEFT JOIN (SELECT stated.*, conf FROM stated JOIN conf USING (stmt)) st USING (s, p, o) GROUP BY ALL"
@@ -206,16 +207,22 @@ _EARLY = f"triples_early AS (SELECT DISTINCT s, p, o FROM quads WHERE g LIKE '{m
 _KEPT = """con AS (
   SELECT r.*, lower(trim(h.text)) AS h_text, lower(trim(t.text)) AS t_text, coalesce(h.uri, lower(trim(h.text))) AS hc, coalesce(t.uri, lower(trim(t.text))) AS tc, y.sym, y.parent
   FROM relations_ r JOIN spans_ h ON r.source_id = h.source_id AND r.head = h.span_id JOIN spans_ t ON r.source_id = t.source_id AND r.tail = t.span_id JOIN types_ y USING (type)
+), dirc AS (
+  SELECT source_id, rel_id FROM con a WHERE NOT sym AND hc <> tc AND EXISTS (SELECT 1 FROM con b WHERE b.source_id = a.source_id AND b.type = a.type AND b.hc = a.tc AND b.tc = a.hc)
+), aff AS (
+  SELECT * FROM con WHERE polarity = 'affirmed' AND rel_id NOT IN (SELECT rel_id FROM dirc)
 ), loops AS (
-  SELECT source_id, rel_id FROM con a WHERE polarity = 'affirmed' AND type IN ('stimulates', 'regulates')
-  AND EXISTS (SELECT 1 FROM con b WHERE b.polarity = 'affirmed' AND b.type = 'secretes' AND b.source_id = a.source_id AND b.hc = a.tc AND b.tc = a.hc)
+  SELECT source_id, rel_id FROM aff a WHERE type IN ('stimulates', 'regulates') AND EXISTS (SELECT 1 FROM aff b WHERE b.type = 'secretes' AND b.source_id = a.source_id AND b.hc = a.tc AND b.tc = a.hc)
+), selfs AS (
+  SELECT source_id, rel_id FROM aff WHERE rel_id NOT IN (SELECT rel_id FROM loops) AND NOT sym AND (hc = tc OR h_text = t_text)
 ), good AS (
-  SELECT * FROM con WHERE polarity = 'affirmed' AND rel_id NOT IN (SELECT rel_id FROM loops)
+  SELECT * FROM aff WHERE rel_id NOT IN (SELECT rel_id FROM loops) AND rel_id NOT IN (SELECT rel_id FROM selfs)
 ), best AS (
   SELECT *, row_number() OVER (PARTITION BY source_id, type, hc, tc ORDER BY score DESC, seq) AS n FROM good
 ), sub AS (
   SELECT source_id, rel_id FROM best a WHERE n = 1 AND EXISTS (SELECT 1 FROM best b WHERE b.n = 1 AND b.parent = a.type AND b.source_id = a.source_id AND b.hc = a.hc AND b.tc = a.tc)
 )"""
+_FIRED = {"re-direction": "dirc", "re-feedback-loop": "loops", "re-self-loop": "selfs", "re-duplicate": "(SELECT * FROM best WHERE n > 1)", "re-subsumed": "sub"}
 
 ORACLES: dict[str, str] = {
     "quads": _sql("SELECT s, p, o, o_kind, o_dt, g FROM quads"),
@@ -223,13 +230,15 @@ ORACLES: dict[str, str] = {
     "q_flagged": _sql("SELECT * FROM claim WHERE polarity <> 'Affirmed'", _CLAIM_ROWS),
     "q_negated": _sql("SELECT * FROM claim", _CLAIM_ROWS),
     "q_negated_only": _sql("SELECT * FROM claim WHERE polarity = 'Negated'", _CLAIM_ROWS),
-    "q_concepts": _sql(f"SELECT l AS label, label.s AS concept, m.o::BIGINT AS mentions FROM label LEFT JOIN triples m ON m.s = label.s AND m.p = '{ONT}mentionCount'"),
+    "q_concepts": _sql(f"SELECT l AS label, label.s AS concept, try_cast(m.o AS DOUBLE) AS mentions FROM label LEFT JOIN triples m ON m.s = label.s AND m.p = '{ONT}mentionCount'"),
     "q_provenance": _sql(f"SELECT s AS graph, {_LOCAL.format('p')} AS property, o AS value FROM triples WHERE p IN ({', '.join(repr(p) for p in named.PROVENANCE_PROPERTIES)})"),
     "q_evidence": _sql(f"""SELECT coalesce(a.l, st.s) AS subject, {_LOCAL.format('st.p')} AS predicate, coalesce(b.l, st.o) AS object, conf AS confidence, e.o AS "extractedBy"
 FROM stated st LEFT JOIN conf USING (stmt) LEFT JOIN triples e ON e.s = st.stmt AND e.p = '{ONT}extractedBy' LEFT JOIN label a ON a.s = st.s LEFT JOIN label b ON b.s = st.o""", _RELATION_ROWS),
     "q_instances": _sql(f"""SELECT regexp_replace(a.s, '^.*/', '') AS instance, {_LOCAL.format('b.p')} AS property, b.o AS value
 FROM triples a JOIN triples b ON a.s = b.s AND b.p <> '{TYPE}' WHERE a.p = '{TYPE}' AND starts_with(a.s, '{INST}')"""),
-    "q_inferred": _sql(f"SELECT DISTINCT coalesce(a.l, t.s) AS subject, {_LOCAL.format('q.uri')} AS predicate, coalesce(b.l, t.o) AS object FROM triples t JOIN types_ c ON t.p = c.uri JOIN types_ q ON c.parent = q.type LEFT JOIN label a ON a.s = t.s LEFT JOIN label b ON b.s = t.o WHERE NOT EXISTS (SELECT 1 FROM triples x WHERE x.s = t.s AND x.p = q.uri AND x.o = t.o)"),
+    "q_inferred": _sql(f"""SELECT coalesce(a.l, t.s) AS subject, {_LOCAL.format('t.p')} AS predicate, coalesce(b.l, t.o) AS object
+FROM (SELECT t.s, q.uri AS p, t.o FROM triples t JOIN types_ c ON t.p = c.uri JOIN types_ q ON c.parent = q.type EXCEPT SELECT s, p, o FROM triples) t
+LEFT JOIN label a ON a.s = t.s LEFT JOIN label b ON b.s = t.o"""),
     "q_about": _sql(f"""SELECT 'out' AS direction, {_LOCAL.format('t.p')} AS predicate, coalesce(l.l, t.o) AS other FROM triples t JOIN c ON t.s = c.s LEFT JOIN label l ON l.s = t.o WHERE t.p <> '{LABEL}'
 UNION ALL SELECT 'in', {_LOCAL.format('t.p')}, coalesce(l.l, t.s) FROM triples t JOIN c ON t.o = c.s AND t.o_kind <> 'lit' LEFT JOIN label l ON l.s = t.s""", f"c AS (SELECT min(s) AS s FROM label WHERE lower(l) = lower('{_ABOUT}'))"),
     "q_scopes": _sql("""SELECT 'document' AS kind, d AS uri, source_id AS id, title AS label, '' AS within FROM docs_
@@ -245,8 +254,8 @@ meta AS (SELECT q.* FROM quads q WHERE g IN ('{PROVENANCE}', '{CATALOG}') AND (s
 terms AS (SELECT s AS t FROM own UNION SELECT p FROM own UNION SELECT o FROM own WHERE o_kind <> 'lit' UNION SELECT s FROM meta UNION SELECT p FROM meta UNION SELECT o FROM meta WHERE o_kind <> 'lit')"""),
     "labels_elected": _sql("SELECT uri, label, mentions FROM labels_"),
     "guards_kept": _sql("SELECT source_id, type, count(*) AS n, sum(round(score * 100))::BIGINT AS points FROM best WHERE n = 1 AND rel_id NOT IN (SELECT rel_id FROM sub) GROUP BY source_id, type", _KEPT),
-    "guards_report": _sql("""SELECT 're-duplicate' AS guard, count(*) AS n FROM best WHERE n > 1 UNION ALL SELECT 're-subsumed', count(*) FROM sub
-UNION ALL SELECT 'affirmed_remaining', count(*) FROM best WHERE n = 1 AND rel_id NOT IN (SELECT rel_id FROM sub)""", _KEPT),
+    "guards_report": _sql(" UNION ALL ".join(f"SELECT '{stage}' AS guard, count(*) AS n FROM {rows} HAVING count(*) > 0" for stage, rows in _FIRED.items())
+        + " UNION ALL SELECT 'affirmed_remaining', count(*) FROM best WHERE n = 1 AND rel_id NOT IN (SELECT rel_id FROM sub)", _KEPT),
     "review_summary": """WITH r AS (SELECT event_type AS stage, CASE WHEN value < 10 THEN '' ELSE substr(json_extract_string(props, '$.k'), 1, 1) END AS code,
   CASE WHEN value > 5 THEN 'value of ' || event_id END AS reason, event_id FROM events)
 SELECT stage, coalesce(nullif(code, ''), '-') AS code, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM r), 1) AS share, arg_min(reason, event_id) FILTER (reason IS NOT NULL) AS example FROM r GROUP BY ALL""",
