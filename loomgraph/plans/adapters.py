@@ -72,8 +72,14 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return found
 
 
+_STORES: dict[tuple[str, str], DataFrame] = {}
+
+
 def quads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All quads of the adapted tables, with two declared groups."""
-    found = tables(spark, sf_dir)
-    groups = found["documents"].select(F.when(F.col("source_id") < "b", "early").otherwise("late").alias("name"), "source_id")
-    return materialise(assertion.assert_documents(found, groups), "quads")  # a store is a table: queries join it with itself
+    """The quad store of a folder, with two declared groups: a table that is built once an application and then read."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _STORES:
+        found = tables(spark, sf_dir)
+        groups = found["documents"].select(F.when(F.col("source_id") < "b", "early").otherwise("late").alias("name"), "source_id")
+        _STORES[key] = materialise(assertion.assert_documents(found, groups), "quads")
+    return _STORES[key]
