@@ -45,7 +45,7 @@ HASHES, ROWS = 128, 5
 BANDS = HASHES // ROWS
 #: Signature places compared at a time, and the posterior under which a pair is dropped.
 BATCH, MISS = 16, 1e-4
-BLOCK = 512
+BLOCK = 2_048
 #: Fixed-size filter of document keys, in bits; with more documents it only lets more through.
 FILTER_BITS = 25
 _MULTIPLIERS = mix(np.arange(1, HASHES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
