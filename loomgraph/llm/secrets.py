@@ -29,10 +29,16 @@ _ASSIGN_WORDS = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 #: Words that announce a credential, and what may stand between them and the value.
+_WORD = r"(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|credentials?|token|bearer|(?:api|auth|access|private)[_ -]?key|login)"
 _CONTEXT = re.compile(
-    r"""(?ai)(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|credentials?|token|bearer|(?:api|auth|access|private)[_ -]?key|login)"""
-    r"""["']?(?:\x20*(?P<mark>:=|=>|->|[:=])\x20*|\x20+is\x20+|\x20+)(?P<quote>["'`]?)(?P<value>[^\s"'`,;<>]{6,})"""
+    rf"""(?ai){_WORD}"""
+    r"""["']?(?:\x20*(?P<mark>:=|=>|->|[:=])\x20*|\x20+is\x20+|\x20+)(?P<quote>["'`]?)(?=[^\s"'`,;<>]{6})"""
 )
+_VALUE = re.compile(r"""[^\s"'`,;<>]+""")
+#: A credential word at the end of a value, and a mark after it, which makes the value a name of the next one.
+_LAST_WORD = re.compile(rf"(?ai){_WORD}\Z")
+_MARK = re.compile(r"""[.)\]}!?]*["'`]?\x20*(?:=>|->|[:=])""")
+_PADDED = re.compile(r"(?P<body>[A-Za-z0-9+/_-]+)={1,2}")
 _URL = re.compile(r"(?a)://[^\s/:@]{1,256}:(?P<value>[^\s/@]{6,})@")
 _CONTEXT_WORDS = ("pass", "pwd", "secret", "credential", "token", "bearer", "key", "login")
 #: Guesses, as a power of ten, from which a value is a secret; a value without a mark or quotes must also mix character kinds.
@@ -131,16 +137,45 @@ def guesses(value: str) -> float:
     return answer
 
 
+def _bare_end(text: str, start: int, bare: int, end: int) -> int:
+    """Where a value ends that is followed by closing punctuation and separators from ``bare``; base64 keeps its padding."""
+    m = _PADDED.match(text, start, end)
+    if m and m.end("body") == bare and (m.end() - start) % 4 == 0 and re.search(r"[A-Z0-9]", m["body"]):
+        return m.end()
+    return max(start, bare)
+
+
+def _is_secret(text: str, start: int, end: int, certain: bool) -> bool:
+    """Whether a value takes many guesses and is not the credential word of a context of its own; one that is not ``certain`` must mix kinds."""
+    if end - start < 6:
+        return False
+    word = _LAST_WORD.search(text, max(start, end - 16), end)
+    if word and (word.start() == start or _MARK.match(text, end)):
+        return False
+    value = text[start:end]
+    if guesses(value) < STRONG:
+        return False
+    mixed = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^\w]")) >= 2 and bool(re.search(r"[0-9]|[^\w.-]", value))
+    return mixed or certain
+
+
 def _credentials(text: str) -> Iterator[tuple[int, int]]:
     low = text.lower()
     if any(w in low for w in _CONTEXT_WORDS):
+        done = end = tail = 0
+        # a match ends where its value begins: what is no secret may itself begin or hold the context of one
         for m in _CONTEXT.finditer(text):
-            value = m["value"].rstrip(".)]}!?")
-            if len(value) < 6 or guesses(value) < STRONG:
+            start = m.end()
+            if start < done:
                 continue
-            mixed = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^\w]")) >= 2 and bool(re.search(r"[0-9]|[^\w.-]", value))
-            if mixed or m["quote"] and m["mark"]:
-                yield m.start("value"), m.start("value") + len(value)
+            if start >= end:
+                end = tail = _VALUE.match(text, start).end()
+                while tail > start and text[tail - 1] in ".)]}!?:=":
+                    tail -= 1
+            bare = _bare_end(text, start, tail, end)
+            if _is_secret(text, start, bare, bool(m["quote"] and m["mark"])):
+                yield start, bare
+                done = end
     if "://" in text:
         for m in _URL.finditer(text):
             if guesses(m["value"]) >= STRONG:

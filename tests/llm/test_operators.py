@@ -158,6 +158,20 @@ def test_secrets(spark):
     assert clean[3] == texts[3] and clean[5] is None and "hunter" not in clean[0] and clean[2] == "password is [SECRET] ok"
 
 
+def test_secrets_after_two_words():
+    """A credential word after another is no value; the value of the second is found."""
+    found = lambda text: [text[s:e] for k, s, e in secrets.scan(text) if k == "guess"]
+    value = "kT9vQ2xZ77aa"
+    for text in ("private key passphrase: {}", "login credentials: {}", "login passcode: {}", "token is secret: {}", 'login "passphrase" = "{}" x',
+                 "login passphrase is {}", "login user_password = {}", "private key passphrase login my2-passcode: {}."):
+        assert found(text.format(value)) == [value], text
+    assert found("private key passphrase: Tr0ub4dor&3xQ") == ["Tr0ub4dor&3xQ"]
+    assert found("login credentials: see below") == found("the login details: none") == found("secret credentials") == []
+    # punctuation after a value is none of it, padding is; a value may end in a credential word
+    assert found("password kT9#vQ2!xZ: keep it") == found("password: kT9#vQ2!xZ:") == ["kT9#vQ2!xZ"]
+    assert found("bearer aGVsbG8gd29ybGQhIQ== x") == ["aGVsbG8gd29ybGQhIQ=="] and found("passphrase: kT9v-token ok") == ["kT9v-token"]
+
+
 def test_guess_costs():
     weak, strong = ["password", "aaaaaaaa", "qwertyui", "19870412", "abcdefgh"], ["kT9#vQ2!xZ", "correcthorsebattery7"]
     assert max(map(secrets.guesses, weak)) < min(map(secrets.guesses, strong))
