@@ -15,6 +15,8 @@ from loomgraph.llm.store import materialise
 
 #: Rows that go to a Python worker at a time; texts are long, and two workers share an executor's memory with its heap.
 ROWS_AT_A_TIME = 1_000
+#: Least similarity of near duplicates in percent: five words and 0.8 or more.
+SIMILAR = 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -34,7 +36,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group; of repeated rows of one key, one."""
     docs = docs.select(*COLUMNS)
-    found = materialise(neardup.near_duplicates(docs).select("doc_id", "kept"), "kept")
+    found = materialise(neardup.near_duplicates(docs, threshold=SIMILAR).select("doc_id", "kept"), "kept")
     again = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
     gone = found.where("NOT kept").select("doc_id").union(again)
     # texts that a filter of fixed size clears stay where they are; only the others meet the keys that go

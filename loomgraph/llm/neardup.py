@@ -39,8 +39,9 @@ from .kernels import U64, mix, sequence_hash, trim, window_hashes, word_bounds,
 from .store import materialise
 
 SHINGLE = 5
+#: Least similarity of a link in percent, where the caller gives none.
 THRESHOLD = 85
-#: Signature length, and rows of a band; a pair at the threshold misses all bands with probability 2e-6.
+#: Signature length, and rows of a band; a pair at 85 % misses all bands with probability 4e-7, one at 80 % with 5e-5.
 HASHES, ROWS = 128, 5
 BANDS = HASHES // ROWS
 #: Signature places compared at a time, and the posterior under which a pair is dropped.
@@ -71,7 +72,7 @@ def signature(names: np.ndarray) -> np.ndarray:
     return out
 
 
-def least_agreements(threshold: float = THRESHOLD / 100, miss: float = MISS) -> list[int]:
+def least_agreements(threshold: float, miss: float = MISS) -> list[int]:
     """For each number of compared batches: agreements under which P(similarity >= threshold) < miss, with a flat prior."""
     out = []
     for n in range(BATCH, HASHES + 1, BATCH):
@@ -125,9 +126,9 @@ def bands(classes: DataFrame) -> DataFrame:
     return classes.select("doc", "sig").mapInArrow(run, "bucket long, nth int, doc long")
 
 
-def _survivors(n_a: np.ndarray, sig_a: np.ndarray, n_b: np.ndarray, sig_b: np.ndarray, open_: np.ndarray, least: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _survivors(n_a: np.ndarray, sig_a: np.ndarray, n_b: np.ndarray, sig_b: np.ndarray, open_: np.ndarray, least: list[int], threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, column and agreements of the pairs that sequential comparison leaves of those ``open_``."""
-    ratio = np.minimum(n_a[:, None], n_b[None, :]) * 100 >= np.maximum(n_a[:, None], n_b[None, :]) * THRESHOLD
+    ratio = np.minimum(n_a[:, None], n_b[None, :]) * 100 >= np.maximum(n_a[:, None], n_b[None, :]) * threshold
     i, j = np.nonzero(open_ & ratio)
     same = np.zeros(len(i), np.int64)
     for step, bound in enumerate(least):
@@ -179,20 +180,20 @@ class _Group:
         raw = self.table.column("sig").to_pylist()
         return np.frombuffer(b"".join(raw), np.uint32).reshape(len(raw), HASHES)[self.order]
 
-    def survivors(self, least: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def survivors(self, least: list[int], threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Members i and j, agreements of the surviving pairs, and all signatures."""
         sig = self.signatures()
-        i, j, same = _survivors(self.n[self.a], sig[self.a], self.n[self.b], sig[self.b], self.open, least)
+        i, j, same = _survivors(self.n[self.a], sig[self.a], self.n[self.b], sig[self.b], self.open, least, threshold)
         return self.a[i], self.b[j], same, sig
 
 
-def forest(members: DataFrame) -> DataFrame:
+def forest(members: DataFrame, threshold: int) -> DataFrame:
     """Pairs ``a`` < ``b``: a maximum spanning forest of the surviving pairs of each group of ``members`` (see ``blocks``)."""
-    least = least_agreements()
+    least = least_agreements(threshold / 100)
 
     def run(table: pa.Table) -> pa.Table:
         group = _Group(table)
-        i, j, same, _ = group.survivors(least)
+        i, j, same, _ = group.survivors(least, threshold)
         keep = _forest(i, j, same, len(group.doc))
         x, y = group.doc[i[keep]], group.doc[j[keep]]
         return pa.table([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
@@ -200,16 +201,16 @@ def forest(members: DataFrame) -> DataFrame:
     return members.groupBy("bucket", "left", "right").applyInArrow(run, "a long, b long").distinct()
 
 
-def crossing(members: DataFrame) -> DataFrame:
+def crossing(members: DataFrame, threshold: int) -> DataFrame:
     """The ``members`` of each group that have a surviving pair across components, without signatures.
 
     A pair that shares several buckets counts in the first of them only.
     """
-    least = least_agreements()
+    least = least_agreements(threshold / 100)
 
     def run(table: pa.Table) -> pa.Table:
         group = _Group(table)
-        i, j, _, sig = group.survivors(least)
+        i, j, _, sig = group.survivors(least, threshold)
         nth = table.column("nth")[0].as_py()
         if nth and len(i):
             first = np.ones(len(i), bool)
@@ -245,7 +246,7 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def cross_links(members: DataFrame) -> DataFrame:
+def cross_links(members: DataFrame, threshold: int) -> DataFrame:
     """Links ``a`` < ``b`` that join components: a spanning forest of the true links of each group of ``members`` (with ``names``)."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -254,7 +255,7 @@ def cross_links(members: DataFrame) -> DataFrame:
         sets = [np.frombuffer(raw[k], U64) for k in group.order]
         shared = overlaps([sets[k] for k in group.a], [sets[k] for k in group.b]) if len(group.a) and len(group.b) else np.zeros(group.open.shape, np.int64)
         whole = group.n[group.a][:, None] + group.n[group.b][None, :] - shared
-        i, j = np.nonzero(group.open & (100 * shared >= THRESHOLD * whole))
+        i, j = np.nonzero(group.open & (100 * shared >= threshold * whole))
         i, j = group.a[i], group.b[j]
         _, comp = np.unique(group.comp, return_inverse=True)
         keep = _forest(comp[i], comp[j], np.ones(len(i)), len(group.doc))
@@ -264,13 +265,13 @@ def cross_links(members: DataFrame) -> DataFrame:
     return members.groupBy("bucket", "left", "right").applyInArrow(run, "a long, b long").distinct()
 
 
-def blocks(members: DataFrame) -> DataFrame:
+def blocks(members: DataFrame, threshold: int) -> DataFrame:
     """Deal the members of each bucket (bucket, nth, size, doc, n, sig, comp) to pairs of blocks.
 
     Blocks are ranges of log set size cut further by hash, about ``BLOCK``
     members each; a pair of size ranges too far apart for the threshold is left out.
     """
-    step = math.log(100 / THRESHOLD) * 1.0001  # wider than a pair at the threshold, rounding included
+    step = math.log(100 / threshold) * 1.0001  # wider than a pair at the threshold, rounding included
     size_range = F.floor(F.log(F.col("n").cast("double")) / step).cast("int")
     cuts = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     # small buckets are one block; in larger ones only equal and adjacent size ranges can hold pairs
@@ -335,7 +336,7 @@ def sets_of(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame
     return source.mapInArrow(run, "doc long, names binary")
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The ``pairs`` whose sets overlap enough, exactly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,7 +347,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * shared >= THRESHOLD * (len(x) + len(y) - shared))
+                keep.append(100 * shared >= threshold * (len(x) + len(y) - shared))
             trim()
             keep = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
@@ -358,8 +359,8 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return two.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a document: key, ``n_shingles``, ``component_id`` (its smallest key), ``kept``."""
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """One row a document: key, ``n_shingles``, ``component_id`` (its smallest key), ``kept``; ``threshold`` in percent."""
     found = materialise(signatures(docs, key, text), "signatures")
     classes = found.where("n > 0").groupBy("name").agg(F.min("doc").alias("doc"), F.first("sig").alias("sig"), F.first("n").alias("n"))
     classes = materialise(classes, "classes")
@@ -367,17 +368,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shared = slots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = materialise(slots.join(shared, "bucket"), "members")
     full = members.join(classes.select("doc", "n", "sig"), "doc")
-    first = materialise(forest(blocks(full.withColumn("comp", F.col("doc")))), "forest")
+    first = materialise(forest(blocks(full.withColumn("comp", F.col("doc")), threshold), threshold), "forest")
     sets = sets_of(docs, key, text, first).join(first.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "doc", "left_semi")
     sets = materialise(sets.dropDuplicates(["doc"]), "sets")
-    links = materialise(verify(first, sets), "links")
+    links = materialise(verify(first, sets, threshold), "links")
     parts = materialise(connected(links), "parts")
     # buckets that still hold several components among the documents with any survivor
     alive = sets.select("doc").join(parts.select(F.col("node").alias("doc"), "component"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("comp"))
     rest = members.join(alive, "doc")
     open_ = rest.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
     rest = rest.join(open_, "bucket").join(classes.select("doc", "n", "sig"), "doc")
-    second = cross_links(crossing(blocks(rest)).join(sets, "doc"))
+    second = cross_links(crossing(blocks(rest, threshold), threshold).join(sets, "doc"), threshold)
     links = links.union(materialise(second, "cross-links"))
     final = connected(links).select(F.col("node").alias("doc"), "component")
     named = classes.join(final, "doc", "left").select("name", F.coalesce("component", "doc").alias("component"))

@@ -92,7 +92,7 @@ def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bayes_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(_read(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents"), threshold=85)
 
 
 def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:

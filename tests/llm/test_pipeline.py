@@ -8,6 +8,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from loomgraph.llm import neardup
 
 
 def test_pipeline(spark, tmp_path):
@@ -44,3 +45,16 @@ def test_repeated_rows(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     out = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
     assert sorted(x["doc_id"] for x in out) == [1, 2]
+
+
+def test_pairs_from_80_percent_on(spark, tmp_path):
+    r = random.Random(11)
+    words = lambda n: ["".join(r.choice("abcdefgh") for _ in range(8)) for _ in range(n)]
+    base = words(204)
+    # 200 shingles; another end leaves 180 of 220 (0.82) or 176 of 224 (0.786)
+    texts = [base, base[:184] + words(20), words(204)]
+    texts.append(texts[2][:180] + words(24))
+    rows = [(k, " ".join(t), "en", "s", 0) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(x["doc_id"] for x in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()) == [0, 2, 3]
+    assert neardup.near_duplicates(docs).where("NOT kept").count() == 0
