@@ -34,17 +34,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group; of repeated rows of one key, one."""
-    docs = docs.select(*COLUMNS)
-    found = materialise(neardup.near_duplicates(docs, threshold=SIMILAR).select("doc_id", "kept"), "kept")
-    again = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    gone = found.where("NOT kept").select("doc_id").union(again)
+    """Keeps one document of each group, that of the smallest doc_id; of rows equal in doc_id and text, one.
+
+    Rows are told apart by a 64-bit hash of doc_id and text, so a doc_id that stands on different texts loses only the copies.
+    """
+    rows = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("_row"))
+    found = materialise(neardup.near_duplicates(rows, "_row", threshold=SIMILAR).select("_row", "component_id"), "found")
+    counted = found.groupBy("_row", "component_id").count()
+    named = counted.join(rows.select("_row", "doc_id").distinct(), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    best = named.groupBy("component_id").agg(first.alias("x")).select(F.col("x._row").alias("_row"), F.lit(True).alias("best"))
+    judged = counted.join(best, "_row", "left").where("best IS NULL OR count > 1").select("_row", F.col("best").isNotNull().alias("again"))
+    judged = materialise(judged, "judged")
+    again = judged.where("again").select("_row")
     # texts that a filter of fixed size clears stay where they are; only the others meet the keys that go
-    clear, rest = neardup.split_by_filter(docs, "doc_id", gone)
-    kept = clear.unionByName(rest.join(gone, "doc_id", "left_anti").select(*COLUMNS))
+    clear, rest = neardup.split_by_filter(rows, "_row", judged.select("_row"))
+    kept = clear.unionByName(rest.join(judged, "_row", "left_anti")).select(*COLUMNS)
     if again.isEmpty():
         return kept
-    return kept.unionByName(rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS))
+    return kept.unionByName(rest.join(again, "_row", "left_semi").dropDuplicates(["_row"]).select(*COLUMNS))
 
 
 def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

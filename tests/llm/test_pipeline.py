@@ -58,3 +58,12 @@ def test_pairs_from_80_percent_on(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(x["doc_id"] for x in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()) == [0, 2, 3]
     assert neardup.near_duplicates(docs).where("NOT kept").count() == 0
+
+
+def test_one_key_on_two_texts(spark, tmp_path):
+    """Only rows whose own text is a copy go, whatever else stands under their key."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(1, text(1)), (2, text(1)), (2, text(2)), (3, text(3)), (3, text(4)), (4, text(4) + " more"), (4, text(5)), (4, text(5))]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted((x["doc_id"], x["text"]) for x in out) == sorted([(1, text(1)), (2, text(2)), (3, text(3)), (3, text(4)), (4, text(5))])
