@@ -44,8 +44,8 @@ THRESHOLD = 85
 #: Signature length, and rows of a band; a pair at 85 % misses all bands with probability 4e-7, one at 80 % with 5e-5.
 HASHES, ROWS = 128, 5
 BANDS = HASHES // ROWS
-#: Signature places compared at a time, and the posterior under which a pair is dropped.
-BATCH, MISS = 16, 1e-4
+#: Signature places compared at a time, and the posterior under which a pair is dropped: eight such checks miss under 1e-4 together.
+BATCH, MISS = 16, 1e-5
 BLOCK = 2_048
 #: Fixed-size filter of document keys, in bits; with more documents it only lets more through.
 FILTER_BITS = 25

@@ -245,6 +245,19 @@ def test_near_duplicates(spark):
     assert neardup.near_duplicates(docs(spark, texts).where("false")).count() == 0
 
 
+@pytest.mark.parametrize("threshold", [0.8, 0.85])
+def test_pruning_misses_less_than_stated(threshold):
+    """The exact chance that a pair at the threshold fails any of the checks."""
+    left = {0: 1.0}
+    for bound in neardup.least_agreements(threshold):
+        more = Counter()
+        for same, p in left.items():
+            for k in range(neardup.BATCH + 1):
+                more[same + k] += p * math.comb(neardup.BATCH, k) * threshold**k * (1 - threshold) ** (neardup.BATCH - k)
+        left = {k: p for k, p in more.items() if k >= bound}
+    assert 1 - sum(left.values()) < 1e-4
+
+
 def test_overlaps_are_exact():
     r = np.random.default_rng(1)
     a, b = ([np.unique(r.integers(0, 400, 200).astype(np.uint64)) for _ in range(9)] for _ in range(2))
