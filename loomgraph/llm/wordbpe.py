@@ -2,8 +2,9 @@
 
 Texts made only of characters whose handling is plain (listed in ``PLAIN``) are
 cut by one regular expression and each distinct token is merged once, all new
-tokens of a batch together as matrix steps.  Every other text goes to the
-tokenizer library itself.  Ids equal the library's either way (tested).
+tokens of a batch together as matrix steps.  Every other text, and every text
+that holds one of the file's added tokens (such as an end-of-text mark), goes to
+the tokenizer library itself.  Ids equal the library's either way (tested).
 """
 
 from __future__ import annotations
@@ -23,15 +24,17 @@ MEMORY = 300_000
 
 
 class WordBpe:
-    """Encoder for one tokenizer file; ``special`` strings inside texts are ordinary text."""
+    """Encoder for one tokenizer file; its added tokens inside texts get their own ids, as in the library."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
-        model = json.loads(self.slow.to_str())["model"]
+        held = json.loads(self.slow.to_str())
+        model = held["model"]
+        added = [re.escape(t["content"]) for t in held["added_tokens"]]
+        self.added = re.compile("|".join(added) or r"(?!)", re.IGNORECASE)
         vocab, merges = model["vocab"], model["merges"]
         self.suffix = model["end_of_word_suffix"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
@@ -50,7 +53,7 @@ class WordBpe:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text as unsigned 32-bit arrays, without special tokens; new tokens of all texts are merged together."""
-        cut = [None if _OTHER.search(t) else _TOKEN.findall(t.lower()) for t in texts]
+        cut = [None if _OTHER.search(t) or self.added.search(t) else _TOKEN.findall(t.lower()) for t in texts]
         if len(self.known) > MEMORY:
             self.known.clear()
         new = set().union(*(t for t in cut if t))
