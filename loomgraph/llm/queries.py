@@ -40,7 +40,7 @@ def _span_digests(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
 
 
 def op3_secret_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _span_digests(secrets.scan_documents(_read(spark, sf_dir, "documents")), ("assign", "access", "hex"))
+    return _span_digests(secrets.scan_documents(_read(spark, sf_dir, "documents"), vocabulary=WORD_BPE), ("assign", "access", "hex"))
 
 
 def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
