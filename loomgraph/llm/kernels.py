@@ -65,8 +65,10 @@ class _Powers:
 
 
 _bytes_powers, _words_powers = _Powers(_BASE), _Powers(_WORD_BASE)
-#: A random-looking 64-bit value for each byte, made by rule.
+_second_powers = _Powers(0xC2B2AE3D27D4EB4F | 1)
+#: Random-looking 64-bit values for each byte, made by rule: of first and of second names.
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=U64) * U64(0xA0761D6478BD642F))
+_SECOND_VALUES = mix(np.arange(1, 257, dtype=U64) * U64(0x8EBC6AF09C88C6E3))
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _ASCII_LOWER = np.arange(256, dtype=np.uint8)
@@ -84,8 +86,9 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2]
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit name for each word, a function of its bytes alone."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, second: bool = False) -> np.ndarray:
+    """A 64-bit name for each word, a function of its bytes alone; ``second`` names are independent of the others."""
+    powers, values = (_second_powers, _SECOND_VALUES) if second else (_bytes_powers, _BYTE_VALUES)
     out = np.empty(len(starts), U64)
     at = 0
     while at < len(starts):
@@ -94,9 +97,9 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
         part = data[base : int(ends[stop - 1])]
         if lower:
             part = _ASCII_LOWER[part]
-        up, down = _bytes_powers.get(len(part) + 1)
+        up, down = powers.get(len(part) + 1)
         sums = np.zeros(len(part) + 1, U64)
-        np.cumsum(_BYTE_VALUES[part] * up[1:], out=sums[1:])
+        np.cumsum(values[part] * up[1:], out=sums[1:])
         s, e = starts[at:stop] - base, ends[at:stop] - base
         out[at:stop] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(U64) * U64(0xE7037ED1A0B428DB))
         at = stop
