@@ -8,12 +8,14 @@ count, and a document left with too small a share of its words is rejected.
 Line counts are combined before they are shuffled and their key is host and
 line, so neither a host with a third of all documents nor a line in all of them
 falls to one task; the join back is one that the adaptive planner can split.
+Lines are known by two independent 64-bit hashes, so two different ones among n
+pass as one with a chance of about n * n / 2**129.  What is counted inside one
+text (repeated lines and three-word windows) is compared by its words.
 
 Defined cases: a null text counts as empty and fails the base rules; a null host
-is a host of its own; texts of any length are counted whole (three-word windows
-are told apart by 43 bits of hash, in texts over a million words by 64 bits);
-repeated rows each count as a document; an empty table gives an empty result;
-other columns are not read.
+is a host of its own; texts of any length are counted whole, in one way; repeated
+rows each count as a document; an empty table gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +33,6 @@ SYMBOLS = r"[#*$%&|<>]"
 #: A line that more documents of one host hold is removed; a document that keeps less of its words is rejected.
 MOST_DOCUMENTS = 20
 LEAST_KEPT = 0.5
-_POSITION_BITS = 21
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -45,30 +46,35 @@ def words_of(text: Column) -> Column:
 
 
 def repeat_words(words: Column) -> Column:
-    """Words inside three-word windows that occur at least twice in ``words``."""
+    """Words inside three-word windows that occur at least twice in ``words``.
+
+    A window's hash takes the bits of a long that its place leaves free; windows
+    that share one are candidates, and these are compared by their three words.
+    """
 
     def covered(places: Column) -> Column:
         sizes = lambda p: F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3))))
         total = lambda p: F.aggregate(sizes(p), F.lit(0).cast("long"), lambda a, x: a + x)
         return F.when(F.size(places) == 0, F.lit(0).cast("long")).otherwise(_let(F.sort_array(places), total))
 
-    def packed(w: Column) -> Column:
-        low = F.lit((1 << _POSITION_BITS) - 1).cast("long")
-        hashed = lambda x, i: F.shiftleft(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)), _POSITION_BITS).bitwiseOR(i.cast("long"))
+    def equal(w: Column, places: Column) -> Column:
+        """Those of ``places`` whose windows hold the same words as another's."""
+        word = lambda i, k: F.get(w, (i + k).cast("int"))
+        named = F.sort_array(F.transform(places, lambda i: F.struct(word(i, 0).alias("a"), word(i, 1).alias("b"), word(i, 2).alias("c"), i.alias("i"))))
+        same = lambda x, y: (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
+        twice = lambda k: F.filter(k, lambda x, i: same(x, F.get(k, i + 1)) | same(x, F.get(k, i - 1)))
+        return F.transform(_let(named, twice), lambda x: x["i"])
+
+    def counted(w: Column, bits: Column) -> Column:
+        hashed = lambda x, i: F.call_function("shiftleft", F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)), bits).bitwiseOR(i.cast("long"))
         keys = F.sort_array(F.slice(F.transform(w, hashed), 1, F.size(w) - 2))
-        key = lambda x: F.shiftright(x, _POSITION_BITS)
+        key = lambda x: F.call_function("shiftright", x, bits)
         twice = lambda k: F.filter(k, lambda x, i: (key(x) == key(F.get(k, i + 1))) | (key(x) == key(F.get(k, i - 1))))
-        places = lambda k: F.transform(twice(k), lambda x: x.bitwiseAND(low))
-        return _let(keys, lambda k: covered(places(k)))
-
-    def wide(w: Column) -> Column:
-        pairs = F.transform(w, lambda x, i: F.struct(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.cast("long").alias("i")))
-        keys = F.sort_array(F.slice(pairs, 1, F.size(w) - 2))
-        same = lambda k, x, j: F.coalesce(F.get(k, j)["h"] == x["h"], F.lit(False))
-        twice = lambda k: F.filter(k, lambda x, i: same(k, x, i + 1) | same(k, x, i - 1))
-        return _let(keys, lambda k: covered(F.transform(twice(k), lambda x: x["i"])))
+        places = lambda k: F.transform(twice(k), lambda x: x - F.call_function("shiftleft", key(x), bits))
+        return _let(keys, lambda k: covered(_let(places(k), lambda p: equal(w, p))))
 
-    return F.when(F.size(words) < 4, F.lit(0).cast("long")).when(F.size(words) < 1 << (_POSITION_BITS - 1), packed(words)).otherwise(wide(words))
+    bits = F.length(F.bin(F.size(words).cast("long"))).cast("int")
+    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(_let(bits, lambda b: counted(words, b)))
 
 
 def normalise_line(line: Column) -> Column:
@@ -76,7 +82,7 @@ def normalise_line(line: Column) -> Column:
 
 
 def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """Counts of each text and ``lines``: hash and words of each line that has a word."""
+    """Counts of each text and ``lines``: two hashes and words of each line that has a word."""
     own = docs.select(F.col(key).alias("_key"), F.col(host).cast("string").alias("_host"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     bare = F.col("_text")
     for space in SPACES:
@@ -87,7 +93,8 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
         return F.struct(F.size(w).cast("long").alias("n_words"), repeat_words(w).alias("n_repeat_words"))
 
     def of_lines(x: Column) -> Column:
-        held = F.transform(x, lambda line: F.struct(F.xxhash64(normalise_line(line)).alias("line"), F.size(words_of(line)).cast("long").alias("words")))
+        names = lambda n: F.struct(F.xxhash64(n).alias("a"), F.xxhash64(F.lit("line"), n).alias("b"))
+        held = F.transform(x, lambda line: F.struct(_let(normalise_line(line), names).alias("line"), F.size(words_of(line)).cast("long").alias("words")))
         return F.struct((F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), held.alias("lines"))
 
     out = own.select(
