@@ -10,7 +10,8 @@ the candidates as a plain column expression.
 
 Positions come from marking matches with a character that no pattern can hold
 (any such character in the text is first replaced by another one, so that
-nothing shifts); patterns are written so that long runs cost linear time.
+nothing shifts); patterns are written so that long runs cost linear time, and so
+is all that follows a match: a megabyte of numbers takes seconds.
 
 Defined cases: a null text counts as empty and has no spans; texts of any
 length are scanned whole; repeated rows are answered separately (and count
@@ -21,6 +22,7 @@ candidates the classifier accepts none; other columns are not read.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -53,11 +55,20 @@ GIVEN_NAMES = (
 ).split()
 FOR_WORDS = "(?i)(?:ssn|social security|iban|account|konto|call|tel|phone|mobile|fax|contact|reach|name is|named|signed|patient|born|address|mail)"
 AGAINST_WORDS = "(?i)(?:version|order|invoice|isbn|serial|part no|item|ticket|figure|table|page|street|avenue|the late)"
+#: Code points around a span that the labelers see.
+BEFORE, AFTER = 32, 8
+#: Numbers that a running sum folds at a time.
+SUMS = 512
 LABELERS = ("v_format", "v_check", "v_list", "v_context", "v_border")
 _MARK, _OTHER = "\ue000", "\ufffd"
 _SPAN = "array<struct<start:bigint,kind:int,end:bigint,v_format:int,v_check:int,v_list:int,v_context:int,v_border:int,size:int>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _digits(x: Column) -> Column:
     return F.regexp_replace(x, "[^0-9]", "")
 
@@ -70,20 +81,29 @@ def luhn(digits: Column) -> Column:
     return (F.length(digits) > 0) & (total % 10 == 0)
 
 
-def _passes(kind: str, x: Column) -> Column:
+def _by_kind(kind: Column, cases: dict[str, Column], otherwise: Column) -> Column:
+    """The case of the kind whose number ``kind`` is."""
+    out = otherwise
+    for name, value in cases.items():
+        out = F.when(kind == KINDS.index(name), value).otherwise(out)
+    return out
+
+
+def _passes(kind: Column, x: Column) -> Column:
     n = F.length(_digits(x))
-    return {
+    cases = {
         "ip": x.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"),
         "card": F.when(n.between(14, 19), luhn(_digits(x))).otherwise(F.lit(False)),
         "phone": n.between(10, 15),
-    }.get(kind, F.lit(True))
+    }
+    return _by_kind(kind, cases, F.lit(True))
 
 
 def _vote(yes: Column, no: Column) -> Column:
     return F.when(no, -1).when(yes, 1).otherwise(0)
 
 
-def _votes(kind: str, x: Column, before: Column, after: Column) -> list[Column]:
+def _votes(kind: Column, x: Column, before: Column, after: Column) -> list[Column]:
     """The five labelers' votes on a candidate and the text around it."""
     digits, no, yes = _digits(x), F.lit(False), F.lit(True)
     given = rf"\b(?:{'|'.join(GIVEN_NAMES)})\b"
@@ -92,47 +112,65 @@ def _votes(kind: str, x: Column, before: Column, after: Column) -> list[Column]:
         "local_phone": _vote(x.rlike(r"^\(?[2-9]"), x.rlike(r"^\(?[01]")), "name": _vote(x.rlike(rf"\x20{_CAPITAL}\x20{_CAPITAL}$"), no),
     }
     check = {
-        "card": _vote(yes, no), "ip": _vote(x.rlike("^(?:[1-9]|1[0-9]|2[0-4])"), x.rlike("^0")), "ssn": _vote(no, digits.rlike("(?:^...00|0000$)")),
+        "card": F.lit(1), "ip": _vote(x.rlike("^(?:[1-9]|1[0-9]|2[0-4])"), x.rlike("^0")), "ssn": _vote(no, digits.rlike("(?:^...00|0000$)")),
         "local_phone": _vote(no, digits.rlike("(?:^...[01]|(.)\\1{6})")), "email": _vote(x.rlike(r"\.[A-Za-z]{2,12}$"), x.rlike(r"\.[0-9]+$")),
     }
     listed = {"name": _vote(x.rlike(given), x.rlike("(?:The|This|That|And|Der|Die|Das|Les|Una)$")), "email": _vote(x.rlike(r"(?i)\.(?:com|org|net|edu|de|fr|es|info)$"), no)}
     border = _vote(before.rlike(r"(?:^|[\s:;,(\"'])$") & after.rlike(r"^(?:$|[\s.,;:)\"'!?|])"), before.rlike(r"[A-Za-z0-9_#/=]$") | after.rlike(r"^[A-Za-z0-9_#/=@]"))
-    return [form.get(kind, _vote(yes, no)), check.get(kind, _vote(no, no)), listed.get(kind, _vote(no, no)), _vote(before.rlike(FOR_WORDS), before.rlike(AGAINST_WORDS)), border]
+    return [_by_kind(kind, form, F.lit(1)), _by_kind(kind, check, F.lit(0)), _by_kind(kind, listed, F.lit(0)), _vote(before.rlike(FOR_WORDS), before.rlike(AGAINST_WORDS)), border]
+
+
+def running_sums(sizes: Column) -> Column:
+    """For each of an array's numbers the sum of those before it.
 
+    A fold that appends copies its array, so the fold runs inside blocks of
+    bounded length, and once over the blocks' sums.
+    """
+    appended = lambda values, first: F.aggregate(
+        values, F.struct(first.cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("held")),
+        lambda a, x: F.struct((a["at"] + x).alias("at"), F.array_append(a["held"], a["at"]).alias("held")),
+    )["held"]
+    cut = lambda held: F.transform(
+        F.sequence(F.lit(0), F.greatest(F.floor((F.size(held) - 1) / SUMS), F.lit(0)).cast("int")), lambda b: F.slice(held, b * SUMS + 1, F.lit(SUMS))
+    )
+    totals = lambda blocks: F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("bigint"), lambda a, x: a + x))
+    within = lambda blocks: _let(appended(totals(blocks), F.lit(0)), lambda first: F.flatten(F.transform(blocks, lambda b, k: appended(b, F.get(first, k)))))
+    return _let(sizes, lambda held: _let(cut(held), within))
 
-def _spans(kind: str, text: Column, safe: Column) -> Column:
-    pattern, test = PATTERNS[kind]
-    pieces = F.split(F.regexp_replace(safe, pattern, f"{_MARK}$0{_MARK}"), _MARK, -1)
-    number = F.lit(KINDS.index(kind))
 
-    def placed(p: Column) -> Column:
-        # odd pieces are matches; starts are running sums of lengths
-        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("starts"))
-        sums = F.aggregate(p, start, lambda a, x: F.struct((a["at"] + F.length(x)).alias("at"), F.array_append(a["starts"], a["at"]).alias("starts")))["starts"]
+def _placed(kind: Column, p: Column) -> Column:
+    """The spans of one kind from a text cut at its matches: odd pieces are matches.
 
-        odd = F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: (i % 2 == 1) & _passes(kind, F.get(p, i)))
+    What stands around a match is taken from the ends of the pieces beside it, of
+    which every second one is at least one character, so long texts cost no more
+    a match than short ones.
+    """
+    odd = F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: (i % 2 == 1) & _passes(kind, F.get(p, i)))
 
-        def span(i: Column, starts: Column) -> Column:
-            match, begin = F.get(p, i), F.get(starts, i)
-            end = begin + F.length(match)
-            before = F.substring(text, F.greatest(begin - 31, F.lit(1)).cast("int"), F.least(begin, F.lit(32)).cast("int"))
-            after = F.substring(text, (end + 1).cast("int"), F.lit(8))
-            votes = [v.cast("int").alias(n) for v, n in zip(_votes(kind, match, before, after), LABELERS, strict=True)]
-            size = F.least(F.floor(F.length(match) / 8), F.lit(3)).cast("int").alias("size")
-            return F.struct(begin.alias("start"), number.alias("kind"), end.alias("end"), *votes, size)
+    def judged(x: Column) -> Column:
+        votes = [v.cast("int").alias(n) for v, n in zip(_votes(kind, x["match"], x["before"], x["after"]), LABELERS, strict=True)]
+        size = F.least(F.floor(F.length(x["match"]) / 8), F.lit(3)).cast("int").alias("size")
+        return F.struct(x["begin"].alias("start"), kind.alias("kind"), (x["begin"] + F.length(x["match"])).alias("end"), *votes, size)
 
-        return F.element_at(F.transform(F.array(sums), lambda starts: F.transform(odd, lambda i: span(i, starts))), 1)
+    def span(i: Column, x: Column) -> Column:
+        first = F.greatest(i - 2 * BEFORE, F.lit(0))
+        before = F.right(F.array_join(F.slice(x["tails"], first + 1, i - first), ""), F.lit(BEFORE))
+        after = F.left(F.array_join(F.slice(x["heads"], i + 2, F.lit(2 * AFTER)), ""), F.lit(AFTER))
+        return _let(F.struct(F.get(p, i).alias("match"), F.get(x["starts"], i).alias("begin"), before.alias("before"), after.alias("after")), judged)
 
-    held = F.element_at(F.transform(F.array(pieces), lambda p: F.when(F.size(p) > 1, placed(p)).otherwise(F.array().cast(_SPAN)).cast(_SPAN)), 1)
-    return F.when(test(text), held).otherwise(F.array().cast(_SPAN))
+    ends = lambda name, cut, n: F.transform(p, lambda x: cut(x, F.lit(n))).alias(name)
+    around = F.struct(running_sums(F.transform(p, lambda x: F.length(x))).alias("starts"), ends("tails", F.right, BEFORE), ends("heads", F.left, AFTER))
+    return _let(around, lambda x: F.transform(odd, lambda i: span(i, x)))
 
 
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Each document's key and candidate spans with votes, by start, then kind."""
     own = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     safe = F.replace(F.col("_text"), F.lit(_MARK), F.lit(_OTHER))
-    spans = F.sort_array(F.concat(*(_spans(k, F.col("_text"), safe) for k in KINDS)))
-    return own.select("_key", spans.alias("spans"))
+    nothing = F.array().cast("array<string>")
+    cut = [F.when(test(F.col("_text")), F.split(F.regexp_replace(safe, pattern, f"{_MARK}$0{_MARK}"), _MARK, -1)).otherwise(nothing) for pattern, test in PATTERNS.values()]
+    by_kind = F.transform(F.array(*cut), lambda p, kind: F.when(F.size(p) > 1, _placed(kind, p)).otherwise(F.array().cast(_SPAN)).cast(_SPAN))
+    return own.select("_key", F.sort_array(F.flatten(by_kind)).alias("spans"))
 
 
 @dataclass
