@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 import math
 import random
@@ -11,8 +10,10 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from loomgraph.llm import ann, chat, language, neardup, packing, pieces, pii, quality, recompress, secrets
 from loomgraph.llm.components import connected
@@ -90,16 +91,16 @@ def test_plan_equals_one_by_one(seed):
 
 
 def test_packing(spark):
-    texts = [*corpus(2, 20), "word " * 5000]
+    texts = [*corpus(2, 20), "word " * 5000, "a <|endoftext|> b", "<|startoftext|><|ENDOFTEXT|>" + "x <|endoftext|>" * 900]
     out = packing.pack_documents(docs(spark, texts), WORD_BPE, with_ids=True).collect()
     whole, places = {}, {}
     for x in sorted(out, key=lambda x: (x["doc_id"], x["piece"])):
         assert x["start"] == len(whole.get(x["doc_id"], [])) and x["length"] == len(x["ids"]) <= 2048
         whole.setdefault(x["doc_id"], []).extend(x["ids"])
         places.setdefault(x["sequence_id"], []).append((x["offset"], x["length"]))
-    encoder = WordBpe(WORD_BPE).slow
+    library = Tokenizer.from_file(WORD_BPE)
     for k, t in enumerate(texts):
-        assert whole[k] == [*encoder.encode(t or "", add_special_tokens=False).ids, 0]
+        assert whole[k] == [*library.encode(t or "", add_special_tokens=False).ids, 0]
     for spans in places.values():
         at = 0
         for offset, length in sorted(spans):
@@ -114,7 +115,11 @@ def test_word_bpe_equals_library():
     r, coder = random.Random(4), WordBpe(WORD_BPE)
     alphabet = "abcdeABC012 \n\t'\".,!?#<>_~éàüßÉØŒ“”–İıſΣж中😀́ "
     texts = ["".join(r.choice(alphabet[: r.choice([12, 40, 60])]) for _ in range(r.choice([0, 1, 5, 40]))) for _ in range(1500)] + ["ab" * 700]
-    assert [x.tolist() for x in coder.encode(texts)] == [x.ids for x in coder.slow.encode_batch(texts, add_special_tokens=False)]
+    marks = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "endoftext", "|>", " ", "word"]
+    texts += ["".join(r.choice(marks) for _ in range(r.choice([1, 3, 9]))) for _ in range(200)]
+    library = Tokenizer.from_file(WORD_BPE)  # an object of its own, as the file has it
+    assert [x.tolist() for x in coder.encode(texts)] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert coder.encode(["hello <|endoftext|> world"])[0].tolist()[1] == 49407
 
 
 def test_pieces_equal_library_and_chunks(monkeypatch):
@@ -177,7 +182,7 @@ def test_guess_costs():
     assert max(map(secrets.guesses, weak)) < min(map(secrets.guesses, strong))
 
     def brute(v):  # all segmentations of a short value
-        segments = secrets._segments(v)
+        segments = [secrets._Segments(v, secrets.words()).at(k) for k in range(len(v))]
         best = math.inf
         for cuts in itertools.product([0, 1], repeat=len(v) - 1):
             ends = [k + 1 for k, c in enumerate(cuts) if c] + [len(v)]
@@ -188,10 +193,61 @@ def test_guess_costs():
             best = min(best, cost + math.lgamma(len(ends) + 1) / math.log(10))
         return best
 
-    for v in ("pass12", "qwe1987", "aaab1", "dragonX"):
+    for v in ("pass12", "qwe1987", "aaab1", "dragonX", "xyzxyzxyz1", "asdfghello", "a1b2a1b2a1b2", "mypass1mypass1", "abcdmonkey12"):
         assert abs(secrets.guesses(v) - brute(v)) < 1e-9
 
 
+def test_guess_costs_of_long_values():
+    """A value is costed whole: its length alone changes no verdict."""
+    for n in (64, 128, 129, 256, 1000):
+        assert abs(secrets.guesses("a" * n) - (1 + math.log10(n))) < 1e-9
+        assert not [x for x in secrets.scan(f'login: "{"a" * n}"') if x[0] == "guess"]
+        assert secrets.guesses("monkey" * n) < secrets.STRONG
+    r = random.Random(3)
+    strange = "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789#!") for _ in range(200_000))
+    assert secrets.guesses(strange) == secrets.CEILING == secrets.guesses(strange[:40])
+    assert [x[0] for x in secrets.scan(f'login: "{strange}"')] == ["guess"]
+    name = "u" * 700
+    assert secrets.scan(f"http://{name}:kT9#vQ2!xZ@host/x") == [("guess", 8 + len(name), 18 + len(name))]
+    # periods by brute force: all whole repeats of every unit that repeats no shorter one
+    for _ in range(200):
+        v = "".join(r.choice("ab") for _ in range(r.choice([4, 9, 30])))
+        want = {}
+        for u in range(1, len(v) // 2 + 1):
+            copies = 1
+            while v[copies * u : (copies + 1) * u] == v[:u]:
+                copies += 1
+            if copies > 1 and not any(u % p == 0 and v[:u] == v[:p] * (u // p) for p in range(1, u)):
+                want[u] = copies
+        s = secrets._Segments(v, secrets.words())
+        assert {u: secrets._overlap(v, 0, u) // u for u in s._units(0)} == want, v
+
+
+SECRET = {"assign": r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]+"}
+
+
+def test_secret_base_spans_by_brute_force(spark):
+    r = random.Random(12)
+    bits = ["password", "PassWD", "secret", "token", "api_key", "APIKEY", "apikey", ":", "=", " ", "  ", "'", '"', "AKIA", "A1B2C3D4", "ABCDEFGHIJKLMNOPQRST", "0123456789abcdef", "deadbeef", "Xy9+/_.=-", "short", "é", "\n", "\t", "ſ", "K"]
+    texts = ["".join(r.choice(bits) for _ in range(r.choice([2, 5, 12, 40]))) for _ in range(600)]
+    texts += [*EDGES, "token=" + "a1B" * 3000, "AKIA" * 400, "a" * 9000, texts[0]]
+
+    def base(t):
+        out = []
+        for k, (kind, pattern) in enumerate(SECRET.items()):
+            for m in re.finditer(pattern, t or "", re.IGNORECASE | re.ASCII if kind == "assign" else re.ASCII):
+                if {"assign": lambda: len(m[2]) >= 6, "access": lambda: len(m[0]) >= 20, "hex": lambda: len(m[0]) >= 24}[kind]():
+                    out.append((m.start(), k, kind, m.end()))
+        return [(kind, s, e) for s, _, kind, e in sorted(out)]
+
+    got = {x["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in x["spans"]] for x in secrets.scan_documents(docs(spark, texts), vocabulary=WORD_BPE).collect()}
+    assert len(got) == len(texts)
+    for d, t in enumerate(texts):
+        assert [x for x in got[d] if x[0] != "guess"] == base(t), t
+    assert sum(len(base(t)) for t in texts) > 100
+    assert secrets.scan_documents(docs(spark, texts).where("false")).count() == 0
+
+
 def test_recompression(spark):
     texts = corpus(7)
     got = {x["doc_id"]: x for x in recompress.remove_repeats(docs(spark, texts)).collect()}
@@ -210,11 +266,28 @@ def test_recompression(spark):
     assert recompress.remove_repeats(docs(spark, texts).where("false")).count() == 0
 
 
+def test_recompression_when_names_collide(spark, monkeypatch):
+    """Windows whose first names are all alike are still told apart, in blocks and in ranges."""
+    r = random.Random(9)
+    texts = [" ".join(r.choice("abcdefgh") + str(r.randrange(50)) for _ in range(90)) for _ in range(6)]
+    texts += [texts[0] + " end", "start " + texts[1]]
+    parts = [recompress.Words(pa.array(texts[k : k + 4])) for k in (0, 4)]
+    sent, found = [], []
+    for words_ in parts:
+        names, second = words_.window_names(words_.windows())
+        found.append(recompress.Distinct(names & np.uint64(3), second))
+        sent.append(recompress._send(len(found), found[-1], 1))
+    table = spark.createDataFrame(pa.Table.from_batches(sent).to_pandas(), recompress._SENT_SCHEMA)
+    answers = {x["block"]: [a.asDict() for a in x["answers"]] for x in recompress.exchange(table, wide=True).collect()}
+    split = [t.split() for t in texts]
+    seen = Counter(tuple(w[k : k + 35]) for w in split for k in range(len(w) - 34))
+    want = [[seen[tuple(w[k : k + 35])] > 1 for w in split[a : a + 4] for k in range(len(w) - 34)] for a in (0, 4)]
+    assert [recompress._many(f, answers[k + 1], 1).tolist() for k, f in enumerate(found)] == want and any(map(any, want))
+
+
 def test_symbols_are_local():
     """A symbol whose reach lies in a stretch of words is there wherever that stretch is."""
     r = random.Random(8)
-    import pyarrow as pa
-
     w = [r.choice("abcdefg") for _ in range(300)]
     whole, part = (recompress.Words(pa.array([" ".join(x)])) for x in (w, w[100:180]))
     name, low, high = recompress.symbols(whole)
@@ -316,7 +389,7 @@ def test_chat_parts(spark):
 
 def test_quality(spark):
     shared = "this line is on every page"
-    texts = [f"{shared}\n" + " ".join(chr(97 + d) * 3 + chr(97 + k // 8) + chr(105 + k % 8) for k in range(60)) for d in range(25)] + ["\n".join([shared] * 12), "a b c " * 30, *EDGES]
+    texts = [f"{shared}\n" + " ".join(chr(97 + d) * 3 + chr(97 + k // 8) + chr(105 + k % 8) for k in range(60)) for d in range(25)] + ["\n".join([shared] * 12), "a b c " * 30, *EDGES, " ".join(str(k * 31 % 1_000_003) for k in range(1_100_000)) + " 1 2 3 x 1 2 3"]
     rows = docs(spark, texts, source=["h"] * len(texts))
     got = {x["doc_id"]: x for x in quality.quality(rows).collect()}
     assert len(got) == len(texts)
@@ -363,5 +436,29 @@ def test_pii(spark):
     assert pii.find(docs(spark, texts).where("false"))[0].count() == 0
 
 
-def test_digest_of_nothing():
-    assert secrets.digest([]) == hashlib.sha256(b"").hexdigest()
+def test_estimates_recover_reliabilities():
+    """Votes drawn from known reliabilities: the estimates come near them, and the classifier near the truth."""
+    r, chance = random.Random(6), {"v_format": 0.9, "v_check": 0.85, "v_list": 0.8, "v_context": 0.75, "v_border": 0.7}
+    counted, truths = Counter(), []
+    for _ in range(20_000):
+        true = r.random() < 0.4
+        votes = {n: (1 if (r.random() < p) == true else -1) if r.random() < 0.8 else 0 for n, p in chance.items()}
+        counted[tuple(votes.values())] += 1
+        truths.append((votes, true))
+    model = pii.learn([({"kind": 4, "size": 0, **dict(zip(chance, v, strict=True))}, n) for v, n in sorted(counted.items())])
+    for name, p in chance.items():
+        assert abs(model.reliability[name][1, 1] - 0.8 * p) < 0.05 and abs(model.reliability[name][-1, 0] - 0.8 * p) < 0.05
+    score = lambda v: model.weights["bias"] + model.weights["kind:4"] + model.weights["size:0"] + sum(model.weights.get(f"{n}:{x}", 0.0) for n, x in v.items() if x)
+    right = sum((score(v) > 0) == true for v, true in truths)
+    best = sum((math.log(0.4 / 0.6) + sum(x * math.log(chance[n] / (1 - chance[n])) for n, x in v.items()) > 0) == true for v, true in truths)
+    assert right > best - 200
+
+
+def test_running_sums_and_long_texts(spark):
+    sizes = [random.Random(k).randrange(9) for k in range(1500)]
+    rows = spark.createDataFrame([(sizes,), (sizes[:512],), (sizes[:513],), ([],)], "x array<int>").select("x", pii.running_sums(F.col("x")).alias("y"))
+    for x in rows.collect():
+        assert x["y"] == [sum(x["x"][:k]) for k in range(len(x["x"]))]
+    text = ", ".join(str(k * 7919 % 100_000) for k in range(60_000)) + ", 4111111111111111, a@b.co"
+    found = pii.find(docs(spark, [text]))[0].first()["spans"]
+    assert [(s["kind"], text[s["start"] : s["end"]]) for s in found if s["kind"] in PII] == [("card", "4111111111111111"), ("email", "a@b.co")]
