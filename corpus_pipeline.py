@@ -65,7 +65,7 @@ def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts a mark in the place of each secret."""
-    return _documents(secrets.redact(docs.select(*COLUMNS)))
+    return _documents(secrets.redact(docs.select(*COLUMNS), vocabulary=WORD_BPE))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
