@@ -18,24 +18,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 _TYPES = ", ".join(f"('{t.name}', '{t.uri}', {str(t.symmetric).lower()}, {f"'{t.parent}'" if t.parent else 'NULL'})" for t in default().relations.values())
 #: The quads of the adapted tables, in the oracle's SQL.
 BASE_SQL = f"""
-documents_ AS ({adapters.oracle("documents")}), chunks_ AS ({adapters.oracle("chunks")}), spans_ AS ({adapters.oracle("spans")}), relations_ AS ({adapters.oracle("relations")}),
+documents_ AS MATERIALIZED ({adapters.oracle("documents")}), chunks_ AS MATERIALIZED ({adapters.oracle("chunks")}), spans_ AS MATERIALIZED ({adapters.oracle("spans")}), relations_ AS MATERIALIZED ({adapters.oracle("relations")}),
 types_ AS (SELECT * FROM (VALUES {_TYPES}) t(type, uri, sym, parent)),
-ends_ AS (SELECT s.source_id, span_id, uri, '{model.GRAPH}' || s.source_id || '/' || section_id AS g, s.text FROM spans_ s JOIN chunks_ c USING (source_id, chunk_id)),
-rel_ AS (
+ends_ AS MATERIALIZED (SELECT s.source_id, span_id, uri, '{model.GRAPH}' || s.source_id || '/' || section_id AS g, s.text FROM spans_ s JOIN chunks_ c USING (source_id, chunk_id)),
+rel_ AS MATERIALIZED (
   SELECT r.*, h.uri AS h_uri, h.g, t.uri AS t_uri, y.uri AS pred, polarity = 'affirmed' AND t.uri IS NOT NULL AS fact
   FROM relations_ r JOIN ends_ h ON r.source_id = h.source_id AND r.head = h.span_id AND h.uri IS NOT NULL
   LEFT JOIN ends_ t ON r.source_id = t.source_id AND r.tail = t.span_id JOIN types_ y USING (type)
 ),
-facts_ AS (SELECT *, '{INST}stmt/' || substr(sha1(concat_ws('|', g, h_uri, pred, t_uri)), 1, 12) AS stmt FROM rel_ WHERE fact),
-claims_ AS (SELECT *, '{INST}assert/' || substr(sha1(concat_ws('|', source_id, rel_id, h_uri, type)), 1, 12) AS node FROM rel_ WHERE NOT fact),
-labels_ AS (
+facts_ AS MATERIALIZED (SELECT *, '{INST}stmt/' || substr(sha1(concat_ws('|', g, h_uri, pred, t_uri)), 1, 12) AS stmt FROM rel_ WHERE fact),
+claims_ AS MATERIALIZED (SELECT *, '{INST}assert/' || substr(sha1(concat_ws('|', source_id, rel_id, h_uri, type)), 1, 12) AS node FROM rel_ WHERE NOT fact),
+labels_ AS MATERIALIZED (
   SELECT uri, first(text ORDER BY n DESC, length(text), f) AS label, sum(n)::BIGINT AS mentions
   FROM (SELECT uri, text, count(*) AS n, min((source_id, seq)) AS f FROM spans_ WHERE uri IS NOT NULL GROUP BY uri, text) GROUP BY uri
 ),
 docs_ AS (SELECT *, '{model.GRAPH}' || source_id AS d, '{INST}agent/' || substr(sha1('agent|' || generator), 1, 12) AS agent FROM documents_),
 secs_ AS (SELECT source_id, section_id, heading, '{model.GRAPH}' || source_id AS d, '{model.GRAPH}' || source_id || '/' || section_id AS s, row_number() OVER (PARTITION BY source_id ORDER BY seq) AS ord FROM chunks_),
 groups_ AS (SELECT DISTINCT CASE WHEN source_id < 'b' THEN 'early' ELSE 'late' END AS name, d FROM docs_),
-quads AS (
+quads AS MATERIALIZED (
   SELECT DISTINCT * FROM (
   SELECT h_uri AS s, pred AS p, t_uri AS o, 'iri' AS o_kind, NULL AS o_dt, g FROM facts_
   UNION ALL SELECT stmt, '{TYPE}', '{RDF}Statement', 'iri', NULL, g FROM facts_
@@ -75,8 +75,8 @@ quads AS (
   UNION ALL SELECT '{model.GROUP}' || name, '{ONT}hasMember', d, 'iri', NULL, '{CATALOG}' FROM groups_
   )
 ),
-triples AS (SELECT DISTINCT s, p, o, o_kind, o_dt FROM quads),
-label AS (SELECT s, o AS l FROM triples WHERE p = '{LABEL}')
+triples AS MATERIALIZED (SELECT DISTINCT s, p, o, o_kind, o_dt FROM quads),
+label AS MATERIALIZED (SELECT s, o AS l FROM triples WHERE p = '{LABEL}')
 """
 
 
@@ -188,14 +188,14 @@ def _schema(quads: DataFrame) -> DataFrame:
     return rows.select(*model.iri(F.col("s"), F.col("p"), F.col("o"), F.lit(None).cast("string"))[:6])
 
 
-_RELATION_ROWS = f"""rows_ AS (
+_RELATION_ROWS = f"""rows_ AS MATERIALIZED (
   SELECT t.s, t.p, t.o, coalesce(a.l, t.s) AS subject, {_LOCAL.format('t.p')} AS predicate, coalesce(b.l, t.o) AS object
   FROM triples t JOIN (SELECT uri FROM types_) y ON t.p = y.uri LEFT JOIN label a ON a.s = t.s LEFT JOIN label b ON b.s = t.o
-), stated AS (
+), stated AS MATERIALIZED (
   SELECT a.s AS stmt, a.o AS s, b.o AS p, c.o AS o FROM triples a JOIN triples b ON a.s = b.s AND b.p = '{RDF}predicate' JOIN triples c ON a.s = c.s AND c.p = '{RDF}object'
   WHERE a.p = '{RDF}subject'
-), conf AS (SELECT s AS stmt, try_cast(o AS DOUBLE) AS conf FROM triples WHERE p = '{ONT}confidence')"""
-_CLAIM_ROWS = f"""claim AS (
+), conf AS MATERIALIZED (SELECT s AS stmt, try_cast(o AS DOUBLE) AS conf FROM triples WHERE p = '{ONT}confidence')"""
+_CLAIM_ROWS = f"""claim AS MATERIALIZED (
   SELECT {_LOCAL.format('pol.o')} AS polarity, coalesce(al.l, ab.o) AS about, coalesce(tl.l, ta.o, '') AS target, {_LOCAL.format('aty.o')} AS "assertionType"
   FROM triples x JOIN triples ab ON ab.s = x.s AND ab.p = '{ONT}about' JOIN triples pol ON pol.s = x.s AND pol.p = '{ONT}polarity'
   LEFT JOIN triples ta ON ta.s = x.s AND ta.p = '{ONT}target' LEFT JOIN label tl ON tl.s = ta.o
