@@ -12,7 +12,7 @@ from ..functions import text
 from ..model import CATALOG, DCT, INST, LABEL, LABELS, ONT, PROV, PROVENANCE, RDF, RDFS, TYPE, XSD
 from ..operators import assertion, graphs, guards, linking, reasoning
 from ..ontology import default
-from . import adapters, named, sparql
+from . import adapters, named, sparql, stated
 
 Query = Callable[[SparkSession, str], DataFrame]
 _TYPES = ", ".join(f"('{t.name}', '{t.uri}', {str(t.symmetric).lower()}, {f"'{t.parent}'" if t.parent else 'NULL'})" for t in default().relations.values())
@@ -174,6 +174,8 @@ QUERIES: dict[str, Query] = {
     "labels_elected": lambda spark, d: assertion.elect_labels(adapters.tables(spark, d)["spans"]),
     "guards_kept": _dedupe,
     "guards_report": lambda spark, d: guards.report(*_guarded(spark, d)),
+    "guards_sentences_kept": stated.kept,
+    "guards_sentences_report": stated.report,
     "review_summary": _review,
     "rdfs_closure": _over(lambda quads: reasoning.materialise_inferred(quads, schema=_schema(quads)).select("s", "p", "o")),
     "linker_top_k": _topk,
@@ -256,6 +258,8 @@ terms AS (SELECT s AS t FROM own UNION SELECT p FROM own UNION SELECT o FROM own
     "guards_kept": _sql("SELECT source_id, type, count(*) AS n, sum(round(score * 100))::BIGINT AS points FROM best WHERE n = 1 AND rel_id NOT IN (SELECT rel_id FROM sub) GROUP BY source_id, type", _KEPT),
     "guards_report": _sql(" UNION ALL ".join(f"SELECT '{stage}' AS guard, count(*) AS n FROM {rows} HAVING count(*) > 0" for stage, rows in _FIRED.items())
         + " UNION ALL SELECT 'affirmed_remaining', count(*) FROM best WHERE n = 1 AND rel_id NOT IN (SELECT rel_id FROM sub)", _KEPT),
+    "guards_sentences_kept": stated.KEPT_SQL,
+    "guards_sentences_report": stated.REPORT_SQL,
     "review_summary": """WITH r AS (SELECT event_type AS stage, CASE WHEN value < 10 THEN '' ELSE substr(json_extract_string(props, '$.k'), 1, 1) END AS code,
   CASE WHEN value > 5 THEN 'value of ' || event_id END AS reason, event_id FROM events)
 SELECT stage, coalesce(nullif(code, ''), '-') AS code, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM r), 1) AS share, arg_min(reason, event_id) FILTER (reason IS NOT NULL) AS example FROM r GROUP BY ALL""",
