@@ -12,6 +12,10 @@ associative, and with the states known every chunk is traced back on its own.
 Scores are fixed-point integers, so all orders of combination give equal sums;
 of equal sums the longest last piece wins.
 
+Giant texts are rows of blocks of chunks: every block's matrix and every block's
+trace is a task's work of its own, and only matrices and pieces of one text, never
+its chunks, meet in one group (a text that Spark can hold has at most 2**15 blocks).
+
 Defined cases: a null or empty text has no pieces; texts of any length are cut
 whole; U+2581 in a text decodes as a space, as the format has it; repeated rows
 are answered separately; an empty table gives an empty result; other columns
@@ -25,9 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import materialise
 from .wordbpe import Slots
 
 SPACE = "▁"
@@ -36,6 +41,8 @@ UNKNOWN_PENALTY = 10.0
 CHUNK = 256
 #: Texts from this many code points on, and units above the other, go through the chunk scan.
 GIANT, LONG_UNIT = 65_536, 256
+#: Code points of a block of a giant text (whole chunks), and of the parts in which it is first cut (whole blocks).
+BLOCK, PART = 1 << 16, 1 << 22
 #: Distinct units remembered a worker; emptied when full.
 MEMORY = 300_000
 _LOW = np.int64(-(1 << 60))
@@ -157,6 +164,83 @@ class Pieces:
             place = stop + CHUNK
         return np.array(out[::-1], np.int64)
 
+    def _block(self, codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Chunks of the first ``n`` code points of a block (more may follow, which pieces may reach into): codes, ids, scores, matrices."""
+        w, chunks = self.width, -(-n // CHUNK)
+        rows = np.zeros((chunks, CHUNK + w), np.uint64)
+        for c in range(chunks):
+            part = codes[c * CHUNK : (c + 1) * CHUNK + w]
+            rows[c, : len(part)] = part
+        ids, score = self.table(rows, CHUNK)
+        eye = np.full((w, w), _LOW)
+        np.fill_diagonal(eye, 0)
+        moves = [self.forward(score[a : a + 64], np.broadcast_to(eye, (len(score[a : a + 64]), w, w)), trace=False)[0][:, :, CHUNK : CHUNK + w] for a in range(0, chunks, 64)]
+        return rows, ids, score, np.concatenate(moves)
+
+    def block_move(self, codes: np.ndarray, n: int) -> np.ndarray:
+        """The transfer matrix of a whole block, as a tree of products."""
+        moves = self._block(codes, n)[3]
+        while len(moves) > 1:
+            odd = moves[len(moves) & ~1 :]
+            moves = np.concatenate([product(moves[0:-1:2], moves[1::2]), odd])
+        return moves[0]
+
+    def block_paths(self, codes: np.ndarray, n: int, entry: np.ndarray, exits: range) -> tuple[np.ndarray, list[tuple[int, np.ndarray, int, bool]]]:
+        """The cuts of a block that end ``exits`` places behind its start, given the best sums at its first places.
+
+        Paths from different ends soon meet, so they share one body of ids: each
+        end has the number of body ids that it uses, its own ids after them, the
+        place where its first piece begins, and whether its ids decode to the text.
+        """
+        rows, ids, score, moves = self._block(codes, n)
+        starts = [entry]
+        for move in moves[:-1]:
+            starts.append(np.maximum((starts[-1][:, None] + move).max(axis=0), _LOW))
+        best, last = self.forward(score, np.array(starts)[:, None, :])
+        best, last = best[-1, 0], last[:, 0]
+        chunks, met, body, out, first_same = len(rows), {}, [], [], True
+        text = codes.astype(np.uint32)
+        for place in exits:
+            # (end in the block, ids) of each piece, last first
+            own: list[tuple[int, list[int]]] = []
+            c, at, begin = chunks - 1, place - (chunks - 1) * CHUNK, None
+            if best[at] <= _LOW // 2:  # no piece reaches so far
+                out.append((0, np.empty(0, "<u4"), 0, False))
+                continue
+            while begin is None:
+                size = int(last[c, at]) if at > 0 else 0
+                if not size:
+                    if c == 0:
+                        begin = at
+                    c, at = c - 1, at + CHUNK
+                    continue
+                end = c * CHUNK + at
+                if end in met:
+                    break
+                piece = int(ids[c, at - size, size - 1])
+                code = chr(int(rows[c, at - size])).encode("utf-8", "surrogatepass") if piece < 0 else b""
+                own.append((end, [piece] if piece >= 0 else [int(x) for x in self.byte_ids[np.frombuffer(code, np.uint8)]]))
+                at -= size
+            own.reverse()
+            if begin is None:  # met the body, which covers the rest
+                used, begin, start = *met[end], end
+            else:
+                used, start = 0, begin
+            tail = [x for _, part in own for x in part]
+            if not body:
+                sizes = np.cumsum([len(part) for _, part in own])
+                met = {end: (int(k), begin) for (end, _), k in zip(own, sizes, strict=True)}
+                body, used, tail_ids, same = tail, len(tail), [], self._spells(tail, text[start:place])
+                first_same = same
+            else:
+                tail_ids, same = tail, first_same and self._spells(tail, text[start:place])
+            out.append((used, np.array(tail_ids, "<u4"), begin, same))
+        return np.array(body, "<u4"), out
+
+    def _spells(self, ids: list[int], codes: np.ndarray) -> bool:
+        text = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").replace(SPACE, " ")
+        return b"".join(self.bytes_of[x] for x in ids) == text.encode("utf-8", "surrogatepass")
+
     def _cut(self, units: list[str]) -> list[bytes]:
         """The best cuts of units of like length, all traced back together."""
         n = max(map(len, units))
@@ -264,6 +348,9 @@ def _prefixes(moves: np.ndarray) -> np.ndarray:
     return out
 
 
+_SCHEMA = "ids array<int>, ids_crc32 long, round_trip boolean"
+
+
 def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document: key, ``ids`` (array of int), ``ids_crc32`` and whether decoding gives the text back."""
     source = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
@@ -287,7 +374,82 @@ def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids, crc, pa.array(same)], names=[key, "ids", "ids_crc32", "round_trip"])
                 at += len(texts)
 
-    return source.mapInArrow(run, f"`{key}` {kind}, ids array<int>, ids_crc32 long, round_trip boolean")
+    giant = F.length("_text") >= GIANT
+    return source.where(~giant).mapInArrow(run, f"`{key}` {kind}, {_SCHEMA}").unionByName(encode_giants(source.where(giant), model, key))
+
+
+def _cut(text: Column, size: int, more: int, most: Column | None = None) -> Column:
+    """Numbered pieces of ``size`` code points of ``text``, each with up to ``more`` that follow; pieces start before ``most``."""
+    n = F.length(text) if most is None else F.least(F.length(text), most)
+    return F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int")), lambda k: F.substring(text, k * size + 1, F.lit(size + more))))
+
+
+def encode_giants(source: DataFrame, model: str, key: str) -> DataFrame:
+    """``_key`` and ``_text`` (not empty) as ``encode_documents`` gives them, each text's blocks in tasks of their own."""
+    w = Pieces(model).width
+    kind = source.schema["_key"].dataType.simpleString()
+    marked = F.concat(F.lit(SPACE), F.replace(F.col("_text"), F.lit(" "), F.lit(SPACE)))
+    rows = source.select(F.monotonically_increasing_id().alias("row"), "_key", marked.alias("t"))
+    parts = rows.select("row", "_key", F.length("t").alias("total"), _cut(F.col("t"), PART, w).alias("part", "t"))
+    cut = parts.select("row", "_key", "total", "part", _cut(F.col("t"), BLOCK, w, F.lit(PART)).alias("block", "t"))
+    block = (F.col("part") * (PART // BLOCK) + F.col("block")).cast("int")
+    n = F.least(F.lit(BLOCK), F.col("total") - block * BLOCK).cast("int")
+    blocks = materialise(cut.select("row", "_key", "total", block.alias("block"), n.alias("n"), "t"), "blocks")
+
+    def codes_of(cell: pa.Scalar) -> np.ndarray:
+        return np.frombuffer(cell.as_py().encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+
+    def moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Pieces(model)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                move = coder.block_move(codes_of(batch.column(3)[k]), batch.column(2)[k].as_py()).tobytes()
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1), batch.column(1).slice(k, 1), pa.array([move], pa.binary())], names=["row", "block", "move"])
+
+    def entries(table: pa.Table) -> pa.Table:
+        """The best sums at each block's first places: a row vector through the matrices before it."""
+        order = np.argsort(table.column("block").to_numpy())
+        entry, out = np.full(w, _LOW), []
+        entry[0] = 0
+        raw = table.column("move")
+        for k in order:
+            out.append(entry.tobytes())
+            move = np.frombuffer(raw[int(k)].as_py(), np.int64).reshape(w, w)
+            entry = np.maximum((entry[:, None] + move).max(axis=0), _LOW)
+        return table.select(["row", "block"]).take(pa.array(order)).append_column("entry", pa.array(out, pa.binary()))
+
+    paths = pa.list_(pa.struct([("used", pa.int32()), ("tail", pa.binary()), ("begin", pa.int32()), ("same", pa.bool_())]))
+    names = ["row", "key", "block", "body", "paths"]
+
+    def traces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Pieces(model)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                x = {c: batch.column(c)[k] for c in ("total", "block", "n", "t", "entry")}
+                n, block = x["n"].as_py(), x["block"].as_py()
+                final = block * BLOCK + n == x["total"].as_py()
+                codes, entry = codes_of(x["t"]), np.frombuffer(x["entry"].as_py(), np.int64)
+                ends = range(n, n + 1) if final else range(n, min(n + w, len(codes) + 1))
+                body, found = coder.block_paths(codes, n, entry, ends)
+                held = [{"used": u, "tail": t.tobytes(), "begin": b, "same": s} for u, t, b, s in found]
+                columns = [batch.column("row").slice(k, 1), batch.column("_key").slice(k, 1), pa.array([block], pa.int32()), pa.array([body.tobytes()], pa.binary()), pa.array([held], paths)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    def joined(table: pa.Table) -> pa.Table:
+        """One text's ids: from its end back, each block's path is the one that ends where the next block's begins."""
+        out, same, end = [], True, 0
+        for k in np.argsort(-table.column("block").to_numpy()):
+            path = table.column("paths")[int(k)].as_py()[end]
+            out += [path["tail"], table.column("body")[int(k)].as_py()[: 4 * path["used"]]]
+            same, end = same and path["same"], path["begin"]
+        raw = b"".join(reversed(out))
+        ids = pa.array([np.frombuffer(raw, "<u4").astype(np.int32)], pa.list_(pa.int32()))
+        return pa.table([table.column("key").slice(0, 1), ids, pa.array([zlib.crc32(raw)], pa.int64()), pa.array([same])], names=[key, "ids", "ids_crc32", "round_trip"])
+
+    moved = blocks.select("row", "block", "n", "t").mapInArrow(moves, "row long, block int, move binary")
+    entered = moved.groupBy("row").applyInArrow(entries, "row long, block int, entry binary")
+    traced = blocks.join(entered, ["row", "block"]).mapInArrow(traces, f"row long, key {kind}, block int, body binary, paths array<struct<used:int,tail:binary,begin:int,same:boolean>>")
+    return traced.groupBy("row").applyInArrow(joined, f"`{key}` {kind}, {_SCHEMA}")
 
 
 def decode_documents(encoded: DataFrame, model: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
