@@ -8,6 +8,10 @@ trial queries are searched by brute force and the least number that gives them
 the wanted recall holds for all.  On vectors without structure that is a large
 share of all rows; on clustered ones it is small.
 
+There are more centroids the more rows there are.  Queries are dealt to calls by
+their nearest first centroid, so those of a call visit much the same shards, and
+a shard's entries go to the calls that visit it and to no others.
+
 Defined cases: vectors that are null, of another length, zero, or hold a null
 or non-finite component take no part; ties go to the smaller id; with fewer
 candidates than asked all of them come back; repeated rows are all candidates;
@@ -25,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import materialise
+from .store import materialise, partitions
 
 #: Rows that the codebooks are fitted on, at most (picked by a hash of the id); every row is indexed.
 FIT_ROWS = 20_000
-CENTROIDS = 64
+#: Centroids of each half: so many for 50,000 rows or fewer, growing with the fourth root of their number.
+CENTROIDS, CENTROID_ROWS = 64, 50_000
 #: The share of entries that a query's cells hold is the least that gives this recall on trial queries.
 RECALL = 0.95
 TRIALS = 64
@@ -151,7 +156,7 @@ def calibrate(entries: DataFrame, trials: np.ndarray, books: Codebooks, sizes: n
     return needed[min(len(needed) - 1, int(RECALL * len(needed)))] if needed else 0
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", centroids: int = CENTROIDS) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", centroids: int | None = None) -> DataFrame:
     """The ``k`` nearest found of each row where ``is_query``: query_id, rank, the id, score (inner product in double).
 
     Equal vectors are indexed once with their ``k + 1`` smallest ids, which are
@@ -164,6 +169,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
     if shape is None:
         return spark.createDataFrame([], schema)
     rows = rows.where(F.size("_v") == shape["n"])
+    centroids = centroids or int(CENTROIDS * max(1.0, shape["count"] / CENTROID_ROWS) ** 0.25)
     fitted = spark.sparkContext.broadcast(fit(rows, shape["n"], shape["count"], centroids))
     books = fitted.value
     columns = len(books.second)
@@ -202,17 +208,32 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
                     take.append(r)
                     marks.append(mark.tobytes())
             rows = pa.array(take, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(marks, pa.binary())], names=["shard", "query_id", "v", "mark"])
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), batch.column(2).take(rows), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(marks, pa.binary())], names=["shard", "call", "query_id", "v", "mark"])
 
-    # all cells of one first centroid form a shard; its entries and its queries are cut into blocks, each pair of blocks is a group
+    # all cells of one first centroid form a shard; its entries and the queries are cut into blocks, each pair of blocks that meets is a group
     by_shard = sizes.reshape(-1, columns).sum(axis=1)
     parts = F.element_at(F.array(*(F.lit(int(max(1, -(-n // BLOCK)))) for n in by_shard)), F.col("shard") + 1)
-    calls = max(1, -(-n_asked // BLOCK))
+    half = shape["n"] // 2
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                near = np.argmax(_matrix(batch.column(1))[:, :half] @ fitted.value.first.T, axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32))], names=["query_id", "v", "near"])
+
+    nearby = materialise(asked.mapInArrow(first, "query_id long, v binary, near int"), "nearby")
+    held = np.zeros(len(books.first), np.int64)
+    for x in nearby.groupBy("near").count().collect():  # a number for each centroid
+        held[x["near"]] = x["count"]
+    before = np.cumsum(held) - held
+    rank = F.element_at(F.array(*(F.lit(int(n)) for n in before)), F.col("near") + 1) + F.pmod(F.xxhash64("query_id"), F.element_at(F.array(*(F.lit(max(1, int(n))) for n in held)), F.col("near") + 1))
+    called = nearby.select("query_id", F.floor(rank / BLOCK).cast("int").alias("call"), "v")
+    left = materialise(called.select("query_id", "v", "call").repartition(partitions(spark)).mapInArrow(visits, "shard int, call int, query_id long, v binary, mark binary"), "visits")
+    meets = left.select(F.col("shard").alias("shard"), F.col("call").alias("call")).distinct()
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = asked.mapInArrow(visits, "shard int, query_id long, v binary, mark binary")
-    left = left.select("shard", F.pmod(F.xxhash64("query_id"), F.lit(calls)).cast("int").alias("call"), every(parts).alias("part"), "query_id", "v", "mark")
-    right = entries.select((F.col("cell") / columns).cast("int").alias("shard"), (F.col("cell") % columns).alias("column"), "_id", "v")
-    right = right.select("shard", every(F.lit(calls)).alias("call"), F.pmod(F.xxhash64("_id"), parts).cast("int").alias("part"), "column", "_id", "v")
+    left = left.select("shard", "call", every(parts).alias("part"), "query_id", "v", "mark")
+    right = entries.select((F.col("cell") / columns).cast("int").alias("shard"), (F.col("cell") % columns).alias("column"), "_id", "v").join(meets, "shard")
+    right = right.select("shard", "call", F.pmod(F.xxhash64("_id"), parts).cast("int").alias("part"), "column", "_id", "v")
     names = ["query_id", key, "score"]
 
     def rerank(asked: pa.Table, own: pa.Table) -> pa.Table:
