@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -462,3 +463,21 @@ def test_running_sums_and_long_texts(spark):
     text = ", ".join(str(k * 7919 % 100_000) for k in range(60_000)) + ", 4111111111111111, a@b.co"
     found = pii.find(docs(spark, [text]))[0].first()["spans"]
     assert [(s["kind"], text[s["start"] : s["end"]]) for s in found if s["kind"] in PII] == [("card", "4111111111111111"), ("email", "a@b.co")]
+
+
+def test_giant_texts_by_blocks(spark, monkeypatch):
+    """Blocks in tasks of their own give what one pass over the text gives, wherever borders fall."""
+    r = random.Random(14)
+    alphabet = "abcdehinorst  éüß.,!\n\t012😀中x"
+    texts = ["".join(r.choice(alphabet) for _ in range(n)) for n in (999, 1000, 1199, 1200, 1201, 2399, 3001, 9000)] + ["the " * 700, "a" * 2500, " " * 1500, "internationalization" * 100, None, ""]
+    texts.append(texts[-3])
+    coder = pieces.Pieces(PIECES)
+    want = {k: coder.encode([t or ""])[0].tolist() for k, t in enumerate(texts)}
+    for name, value in (("GIANT", 1000), ("BLOCK", 512), ("PART", 1024)):
+        monkeypatch.setattr(pieces, name, value)
+    rows = pieces.encode_documents(docs(spark, texts), PIECES).collect()
+    assert len(rows) == len(texts)
+    for x in rows:
+        assert x["ids"] == want[x["doc_id"]] and x["round_trip"], x["doc_id"]
+        assert x["ids_crc32"] == zlib.crc32(np.array(x["ids"], "<u4").tobytes())
+    assert pieces.encode_documents(docs(spark, texts).where("false"), PIECES).count() == 0
