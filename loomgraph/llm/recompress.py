@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .kernels import U64, mix, window_hashes, word_bounds, word_hashes
-from .store import partitions, shared_folder
+from .store import fresh_path, partitions
 
 WINDOW = 35
 ROUNDS = 5
@@ -80,7 +80,7 @@ def blocks(docs: DataFrame, text: str) -> DataFrame:
     spark = docs.sparkSession
     name = f"loomgraph_blocks_{uuid.uuid4().hex}"
     table = docs.mapInArrow(run, "block long, bytes long, rows binary")
-    table.write.option("path", f"{shared_folder(spark)}/{name}").option("compression", "none").bucketBy(partitions(spark), "block").saveAsTable(name)
+    table.write.option("path", fresh_path(spark, name)).option("compression", "none").bucketBy(partitions(spark), "block").saveAsTable(name)
     held = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # only its name: the files stay in the shared folder, and the plan has them
     return held
