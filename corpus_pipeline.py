@@ -11,10 +11,8 @@ from pyspark.sql import functions as F
 
 from loomgraph.llm import language, neardup, packing, recompress, secrets
 from loomgraph.llm.queries import WORD_BPE
-from loomgraph.llm.store import materialise
+from loomgraph.llm.store import mark, materialise, release
 
-#: Rows that go to a Python worker at a time; texts are long, and two workers share an executor's memory with its heap.
-ROWS_AT_A_TIME = 1_000
 #: Least similarity of near duplicates in percent: five words and 0.8 or more.
 SIMILAR = 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -26,7 +24,10 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without any letter and those in which no language makes up half."""
+    """Drops documents without any letter (null and empty ones too) and those in which no language makes up half.
+
+    Rows are judged one by one, so repeated ones fare alike; an empty table stays empty and other columns go.
+    """
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
     model = language.fit(docs, "text", "lang", "doc_id", ~held)
     found = language.predict(docs.select(*COLUMNS), model)
@@ -37,6 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps one document of each group, that of the smallest doc_id; of rows equal in doc_id and text, one.
 
     Rows are told apart by a 64-bit hash of doc_id and text, so a doc_id that stands on different texts loses only the copies.
+    Null texts and those without words are no copies of anything; a null doc_id comes last in its group; an empty table stays empty.
     """
     rows = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("_row"))
     found = materialise(neardup.near_duplicates(rows, "_row", threshold=SIMILAR).select("_row", "component_id"), "found")
@@ -52,11 +54,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     kept = clear.unionByName(rest.join(judged, "_row", "left_anti")).select(*COLUMNS)
     if again.isEmpty():
         return kept
-    return kept.unionByName(rest.join(again, "_row", "left_semi").dropDuplicates(["_row"]).select(*COLUMNS))
+    return kept.unionByName(rest.join(again, "_row", "left_semi").dropDuplicates(["_row", "doc_id", "text"]).select(*COLUMNS))
 
 
 def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes words in repeated 35-word windows; a text that loses none stays as it is, one that loses all goes."""
+    """Removes words in repeated 35-word windows; a text that loses none stays as it is, one that loses all goes.
+
+    Null and empty texts have no words and stay; repeated rows repeat each other; an empty table stays empty.
+    """
     whole = docs.select(*COLUMNS, F.col("text").alias("_whole"))
     found = recompress.remove_repeats(whole)
     text = F.when(F.col("n_removed") == 0, F.col("_whole")).otherwise(F.col("text"))
@@ -64,36 +69,24 @@ def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts a mark in the place of each secret."""
+    """Puts a mark in the place of each secret; null texts stay null, and no row goes."""
     return _documents(secrets.redact(docs.select(*COLUMNS), vocabulary=WORD_BPE))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in training sequences."""
+    """The pieces of all documents with their places in training sequences; a null text is its end token alone."""
     return packing.pack_documents(docs, WORD_BPE)
 
 
-def _bounded(stage):
-    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_A_TIME))
-        return stage(spark, docs, sf_dir)
-
-    return run
-
-
-STAGES = [
-    ("language_id", _bounded(language_id)),
-    ("near_duplicates", _bounded(near_duplicates)),
-    ("long_repeats", _bounded(long_repeats)),
-    ("secret_scan", _bounded(secret_scan)),
-    ("packing", _bounded(packed)),
-]
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("long_repeats", long_repeats), ("secret_scan", secret_scan), ("packing", packed)]
 #: Language mixtures, guess costs and tokenizers have no SQL form; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; a stage's own tables are removed once the next one's input is written."""
+    docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), mark()
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
+        release(spark, since, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)
