@@ -35,7 +35,7 @@ def duplicate_key(text: Column) -> Column:
 
 def parse_source_line(text: Column) -> Column:
     """``key: value | key: value`` as a map; the first colon splits and a later key wins."""
-    pairs = F.filter(F.transform(F.split(text, r"\|"), F.trim), lambda x: F.contains(x, F.lit(":")))
+    pairs = F.filter(F.transform(F.split(text, r"\|"), lambda x: F.trim(x)), lambda x: F.contains(x, F.lit(":")))
     entry = lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))).alias("key"), F.trim(F.regexp_replace(x, r"(?s)^[^:]*:", "")).alias("value"))
     entries = F.transform(pairs, entry)
     last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
@@ -95,7 +95,7 @@ def clean_text(text: Column) -> Column:
 
 def split_items(text: Column) -> Column:
     """Bullet lines of a text, cleaned; without any the text as one item."""
-    lines = F.transform(F.split(text, "\n", -1), F.trim)
+    lines = F.transform(F.split(text, "\n", -1), lambda x: F.trim(x))
     bullet = r"^(?:[-*+•]|\d+[.)])\s+"
     items = F.transform(F.filter(lines, lambda x: x.rlike(bullet)), lambda x: F.regexp_replace(x, bullet, ""))
     return F.when(F.size(items) > 0, items).otherwise(F.filter(F.array(F.trim(text)), lambda x: x != ""))
@@ -115,7 +115,7 @@ def marker_counts(text: Column, markers: dict[str, str]) -> Column:
 
 def looks_structured(text: Column) -> Column:
     """A heading-like line, or a text that is mostly bullets or lines without a full stop."""
-    lines = F.filter(F.transform(F.split(text, "\n", -1), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
     ended = lambda x: x.rlike(r"[.!?]$")
     n, full = F.size(lines), F.size(F.filter(lines, ended))
     bullets = F.size(F.filter(lines, lambda x: x.rlike(r"^(?:[-*+•]|\d+[.)])\s")))

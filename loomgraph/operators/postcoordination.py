@@ -47,8 +47,8 @@ VALUES = {line.rpartition(" ")[0]: expand(line.rpartition(" ")[2]) for line in V
 OPPOSITES = ((ONT + "Deficiency", ONT + "Excess"),)
 #: Labels whose spans a deviation can change the role of.
 DEVIATES = ("Substance", "Drug", "Protein")
-#: Words that already say a deviation inside a concept's own name, by its value.
-_SAYS = {ONT + "Deficiency": r"(?i)^hypo|deficien|insufficien|\blow\b", ONT + "Excess": r"(?i)^hyper|excess|\bhigh\b|elevat", ONT + "Resistance": r"(?i)resist"}
+#: The phrases of each value, as one pattern of whole words.
+_SAYS = {value: rf"(?iU)\b(?:{'|'.join(k for k, v in VALUES.items() if v == value)})\b" for value in sorted(set(VALUES.values()))}
 
 
 def lexicon_uri(text: Column) -> Column:
@@ -79,8 +79,9 @@ def judge(spans: DataFrame) -> DataFrame:
     """Linked affirmed spans with their modifiers sorted out, by place in the array.
 
     ``modelled`` become attributes; role-changing ones that the label cannot
-    carry, that contradict each other, or that the span's text already says are
-    ``misapplied``, ``contradictory`` and ``redundant``.
+    carry, that contradict each other, or whose value the span's text already
+    says by one of its phrases as whole words are ``misapplied``,
+    ``contradictory`` and ``redundant``.
     """
     rows = spans.where("uri IS NOT NULL AND NOT negated AND size(modifiers) > 0")
     values = F.transform(F.filter("modifiers", _role), lambda m: lexicon_uri(m["text"]))
@@ -90,12 +91,8 @@ def judge(spans: DataFrame) -> DataFrame:
     rows = rows.withColumn("_values", F.filter(values, lambda x: x.isNotNull())).withColumn("_clash", clash)
     fits = F.coalesce(F.col("label").isin(*DEVIATES), F.lit(False))
 
-    def said(m: Column) -> Column:
-        out = F.contains(F.lower("text"), F.lower(F.trim(m["text"])))
-        for value, pattern in _SAYS.items():
-            out = out | ((lexicon_uri(m["text"]) == value) & F.col("text").rlike(pattern))
-        return F.coalesce(out, F.lit(False))
-
+    phrases = F.create_map(*(F.lit(x) for pair in _SAYS.items() for x in pair))
+    said = lambda m: F.coalesce(F.rlike("text", F.try_element_at(phrases, lexicon_uri(m["text"]))), F.lit(False))
     sort = lambda m: F.when(~_role(m), "modelled").when(~fits, "misapplied").when(F.col("_clash"), "contradictory").when(said(m), "redundant").otherwise("modelled")
     return rows.withColumn("sorted", F.transform("modifiers", lambda m: F.struct(sort(m).alias("as"), m.alias("m")))).drop("_values", "_clash")
 

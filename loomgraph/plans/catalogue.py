@@ -134,12 +134,6 @@ def _structured(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", text.slug(F.col("text")).alias("slug"), F.sha1(text.duplicate_key(F.col("text"))).alias("dup_key"), F.length(text.drop_formula_sentences(F.col("text"))).alias("n_kept"))
 
 
-def _duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.sha1(text.duplicate_key(F.col("text"))).alias("key"))
-    first = docs.groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    return docs.join(first.where("n > 1"), "key").where("doc_id <> first").select("doc_id", F.col("first").alias("duplicate_of"))
-
-
 def _offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.parsing import merge_segments
 
@@ -180,7 +174,6 @@ QUERIES: dict[str, Query] = {
     "rdfs_closure": _over(lambda quads: reasoning.materialise_inferred(quads, schema=_schema(quads)).select("s", "p", "o")),
     "linker_top_k": _topk,
     "text_functions": _structured,
-    "duplicate_chunks": _duplicates,
     "merged_offsets": _offsets,
 }
 
@@ -275,6 +268,4 @@ closure AS (SELECT * FROM base UNION
 n AS (SELECT vec_id, cui, list_transform(e, lambda x: x / (sqrt(list_sum(list_transform(e, lambda y: y * y))) + 1e-12)) AS e FROM v),
 s AS (SELECT q.vec_id AS query, a.cui, max(list_dot_product(q.e, a.e)) AS score FROM n q, n a WHERE q.vec_id % 50 = 0 GROUP BY ALL)
 SELECT query, cui, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, cui) AS rank FROM s) WHERE rank <= 5""",
-    "duplicate_chunks": r"""WITH d AS (SELECT doc_id, sha1(lower(trim(regexp_replace(text, '[\s\x{A0}]+', ' ', 'g')))) AS k FROM documents)
-SELECT doc_id, f AS duplicate_of FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY k) AS f FROM d) WHERE doc_id <> f""",
 }

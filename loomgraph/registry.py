@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import catalogue
+from .plans import catalogue, more
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +16,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(catalogue.QUERIES)
+    return catalogue.QUERIES | more.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(catalogue.ORACLES)
+    return catalogue.ORACLES | more.ORACLES

@@ -30,7 +30,9 @@ def discover(spark: SparkSession, paths: list[str], extensions: tuple[str, ...]
 
     Hidden and already normalised files are left out; a file named twice counts once.
     """
-    whole = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("text"))
+    # only names that can be wanted are opened
+    pattern = "*{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in x) for x in extensions) + "}"
+    whole = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("text"))
     name = F.lower(F.element_at(F.split("path", "/"), -1))
     wanted = F.lit(False)
     for x in extensions:
@@ -38,8 +40,9 @@ def discover(spark: SparkSession, paths: list[str], extensions: tuple[str, ...]
     return whole.where(wanted & ~name.startswith(".") & ~name.endswith(".normalized.md")).dropDuplicates(["path"]).orderBy("path")
 
 
-def read_ir(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(IR).option("multiLine", True).json(path)
+def read_ir(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """IR documents: files of one object each, or with ``lines`` files of one object a line, as ``write_ir`` makes them."""
+    return spark.read.schema(IR).option("multiLine", not lines).json(path)
 
 
 def ir_tables(ir: DataFrame) -> dict[str, DataFrame]:

@@ -9,8 +9,10 @@ from ..model import QUAD_COLUMNS
 
 # Terms as the N-Quads grammar has them, with the parts that are columns in groups.
 _IRI, _BLANK = r"<([^<>\x22{}|^`\\\x00-\x20]*)>", r"(_:[^\s<>\x22]+)"
-_LITERAL = r"\x22((?:[^\x22\\\n\r]|\\.)*)\x22(?:\^\^<([^<>\s]*)>|@([A-Za-z]+(?:-[A-Za-z0-9]+)*))?"
+_LITERAL = r"\x22([^\x22\n\r]*+)\x22(?:\^\^<([^<>\s]*)>|@([A-Za-z]+(?:-[A-Za-z0-9]+)*))?"
 _LINE = rf"^\s*(?:{_IRI}|{_BLANK})\s*<([^<>\s]*)>\s*(?:{_IRI}|{_BLANK}|{_LITERAL})\s*(?:{_IRI}|{_BLANK})?\s*\.\s*(?:#.*)?$"
+#: What stands for a written backslash or quote while a line is matched, so that a literal is a run without quotes however long it is.
+_MASKS = (("\x02", "\x02m"), ("\\\\", "\x02b"), ('\\"', "\x02q"))
 _ESCAPES = (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"))
 
 
@@ -36,9 +38,13 @@ def unescape(text: Column) -> Column:
 def parse(lines: DataFrame, column: str = "value") -> DataFrame:
     """Quads of lines of N-Quads; blank and comment lines are skipped, others that do not parse have a null ``p``."""
     line = F.col(column)
+    for written, mask in _MASKS:
+        line = F.replace(line, F.lit(written), F.lit(mask))
     group = lambda n: F.nullif(F.regexp_extract(line, _LINE, n), F.lit(""))
     text = F.regexp_extract(line, _LINE, 6)
-    rows = lines.where(~line.rlike(r"^\s*(?:#.*)?$"))
+    for written, mask in reversed(_MASKS):
+        text = F.replace(text, F.lit(mask), F.lit(written))
+    rows = lines.where(~F.col(column).rlike(r"^\s*(?:#.*)?$"))
     is_iri, is_blank = group(4).isNotNull(), group(5).isNotNull()
     return rows.select(
         F.coalesce(group(1), group(2)).alias("s"),

@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write once as Parquet under ``spark.checkpoint.dir`` and read back: cuts the lineage and survives lost executors.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; a session without one has its warehouse, which driver and executors share too."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/loomgraph-stages"
+    return folder.rstrip("/")
+
 
-    Only a session without that setting (a local test) gets a folder of its own.
-    """
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write once as Parquet in the shared folder and read back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='loomgraph-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

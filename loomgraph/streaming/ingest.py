@@ -18,7 +18,7 @@ def documents(spark: SparkSession, folder: str, pattern: str = "*.md") -> DataFr
     return rows.select(path.alias("path"), F.col("value").alias("text")).where(~F.lower("path").endswith(".normalized.md"))
 
 
-def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, stage: Callable[[DataFrame], DataFrame] = parse_documents) -> StreamingQuery:
+def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, stage: Callable[[DataFrame], DataFrame] = parse_documents, pattern: str = "*.md") -> StreamingQuery:
     """Runs ``stage`` on all files not seen yet and ends; the checkpoint remembers them, so a second run does only what is new."""
-    rows = stage(documents(spark, folder))
+    rows = stage(documents(spark, folder, pattern))
     return rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()

@@ -59,12 +59,32 @@ def test_text_functions(spark):
 def test_golden_parse(spark):
     meta, segments = parsing.segments_of(GOLDEN)
     assert meta["title"] == "Thyroid" and meta["model"] == "m1"
-    assert [(s["kind"], s["section_id"], s["section_path"]) for s in segments] == [("prose", "iodine", ["Thyroid", "Iodine"]), ("keypoint", "iodine", ["Thyroid", "Iodine"])]
+    below = ["Thyroid", "Iodine"]
+    assert [(s["kind"], s["level"], s["section_id"], s["section_path"]) for s in segments] == [("heading", 1, "", []), ("heading", 2, "iodine", below), ("prose", 0, "iodine", below), ("keypoint", 0, "iodine", below)]
     rows = parsing.parse_documents(spark.createDataFrame([("/x/thyroid.md", GOLDEN)], "path string, text string"))
-    chunks = parsing.mark_duplicates(parsing.merge_segments(rows)).orderBy("seq").collect()
-    assert [(c["source_id"], c["chunk_id"], c["kind"], c["duplicate_of"]) for c in chunks] == [("thyroid_source", "c001", "prose", None), ("thyroid_source", "c002", "duplicate", "c001")]
-    merged = parsing.merge_segments(rows)
-    assert parsing.misplaced(merged, parsing.normalised_text(merged)).count() == 0
+    found = parsing.assemble(rows)
+    chunks = found["chunks"].orderBy("seq").collect()
+    assert [(c["source_id"], c["chunk_id"], c["kind"], c["duplicate_of"], c["char_start"], c["char_end"]) for c in chunks] == [("thyroid_source", "c001", "prose", None, 22, 72), ("thyroid_source", "c002", "duplicate", "c001", 74, 124)]
+    assert parsing.normalised_text(found["pieces"]).first()["normalized_text"] == f"# Thyroid\n\n## Iodine\n\n{SENTENCE}\n\n{SENTENCE}\n\n"
+    assert parsing.misplaced(found["chunks"], parsing.normalised_text(found["pieces"])).count() == 0
+    assert [(r["stage"], r["duplicate_of"]) for r in found["review"].collect()] == [("stage1-duplicate", "c001")]
+
+
+def test_media(spark):
+    text = """<meta><title>T</title></meta><sec><head>H</head><con>See it<figref id="f1">here</figref> and <tblref id="t1">there</tblref> well.</con>
+<fig id="f1" src="a.png" label="1-1"><cap>Shows x</cap><desc>One claim. Two claims.</desc></fig><fig><cap>Lost</cap></fig><fig id="f2"><cap>Shows y</cap></fig>
+<tbl id="t1" label="2"><cap>Grid</cap><con>Row one is here.</con></tbl><tbl id="t2"></tbl><tbl id="t3"><cap>Empty</cap></tbl><note status="failed">section</note><con>This part could not be generated.</con></sec>"""
+    found = parsing.assemble(parsing.parse_documents(spark.createDataFrame([("/x/doc.md", text)], "path string, text string")))
+    laid = parsing.normalised_text(found["pieces"]).first()["normalized_text"]
+    bound = parsing.bind_media(found)
+    figures = {r["ref"]: r for r in bound["figures"].collect()}
+    assert set(figures) == {"f1", "f2"} and figures["f1"]["src"] == "a.png" and figures["f1"]["referenced_from"] == "c001" and figures["f1"]["content_chunk"] == "c002" and figures["f2"]["content_chunk"] is None
+    assert all(laid[slice(*r["caption_span"])] == r["caption"] for r in figures.values())
+    tables_ = {r["ref"]: (r["caption"], r["content_chunk"], r["referenced_from"]) for r in bound["tables"].collect()}
+    assert tables_ == {"t1": ("Grid", "c003", "c001"), "t3": ("Empty", None, None)}
+    assert sorted((r["ref"], r["reason"]) for r in bound["review"].collect()) == [("f2", "figure has no src image"), ("f2", "figure never anchored in prose"), ("t3", "table has no restated content"), ("t3", "table never cited in prose")]
+    assert sorted((r["stage"], r["text"]) for r in found["review"].collect()) == [("stage1-figure", "figure block with no id"), ("stage1-tagged", "This part could not be generated."), ("stage1-tagged", "section")]
+    assert parsing.misplaced(found["chunks"], parsing.normalised_text(found["pieces"])).count() == 0
 
 
 def test_merge_caps(spark):
@@ -227,8 +247,8 @@ def test_incremental_ingest(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     (folder / "a.md").write_text(GOLDEN)
-    for expected in (2, 2, 4):  # the second run finds nothing new, the third one new file
-        if expected == 4:
+    for expected in (4, 4, 8):  # the second run finds nothing new, the third one new file
+        if expected == 8:
             (folder / "b.md").write_text(GOLDEN.replace("thyroid_source", "other"))
         ingest.ingest(spark, str(folder), f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
         assert spark.read.parquet(f"{tmp_path}/out").count() == expected
