@@ -31,6 +31,11 @@ def one(spark, value, function):
     return spark.createDataFrame([(value,)], "x string").select(function(F.col("x")).alias("y")).first()["y"]
 
 
+def stored(df):
+    """The rows as a small local table, so that later queries do not plan all that made them."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def tables(spark, modifiers=(), spans=None, relations=None, body=SENTENCE, base=0):
     spans = spans or [("s001", "iodine", body.find("iodine"), "Substance", SNOMED + "62834003", "C0021968"), ("s002", "goiter", body.find("goiter"), "Disease", SNOMED + "3716002", "C0018021")]
     relations = relations or [("r001", "s002", "s001", "caused_by", "affirmed", 0, len(body), 0.9)]
@@ -61,8 +66,8 @@ def test_golden_parse(spark):
     assert meta["title"] == "Thyroid" and meta["model"] == "m1"
     below = ["Thyroid", "Iodine"]
     assert [(s["kind"], s["level"], s["section_id"], s["section_path"]) for s in segments] == [("heading", 1, "", []), ("heading", 2, "iodine", below), ("prose", 0, "iodine", below), ("keypoint", 0, "iodine", below)]
-    rows = parsing.parse_documents(spark.createDataFrame([("/x/thyroid.md", GOLDEN)], "path string, text string"))
-    found = parsing.assemble(rows)
+    rows = stored(parsing.parse_documents(spark.createDataFrame([("/x/thyroid.md", GOLDEN)], "path string, text string")))
+    found = {k: stored(v) for k, v in parsing.assemble(rows).items()}
     chunks = found["chunks"].orderBy("seq").collect()
     assert [(c["source_id"], c["chunk_id"], c["kind"], c["duplicate_of"], c["char_start"], c["char_end"]) for c in chunks] == [("thyroid_source", "c001", "prose", None, 22, 72), ("thyroid_source", "c002", "duplicate", "c001", 74, 124)]
     assert parsing.normalised_text(found["pieces"]).first()["normalized_text"] == f"# Thyroid\n\n## Iodine\n\n{SENTENCE}\n\n{SENTENCE}\n\n"
@@ -74,7 +79,7 @@ def test_media(spark):
     text = """<meta><title>T</title></meta><sec><head>H</head><con>See it<figref id="f1">here</figref> and <tblref id="t1">there</tblref> well.</con>
 <fig id="f1" src="a.png" label="1-1"><cap>Shows x</cap><desc>One claim. Two claims.</desc></fig><fig><cap>Lost</cap></fig><fig id="f2"><cap>Shows y</cap></fig>
 <tbl id="t1" label="2"><cap>Grid</cap><con>Row one is here.</con></tbl><tbl id="t2"></tbl><tbl id="t3"><cap>Empty</cap></tbl><note status="failed">section</note><con>This part could not be generated.</con></sec>"""
-    found = parsing.assemble(parsing.parse_documents(spark.createDataFrame([("/x/doc.md", text)], "path string, text string")))
+    found = {k: stored(v) for k, v in parsing.assemble(stored(parsing.parse_documents(spark.createDataFrame([("/x/doc.md", text)], "path string, text string")))).items()}
     laid = parsing.normalised_text(found["pieces"]).first()["normalized_text"]
     bound = parsing.bind_media(found)
     figures = {r["ref"]: r for r in bound["figures"].collect()}
@@ -96,11 +101,12 @@ def test_merge_caps(spark):
 def test_golden_quads(spark):
     t = tables(spark, modifiers=[("deviation", "A deficiency in")])
     t["instances"], review = postcoordination.post_coordinate(t["spans"])
+    t["instances"] = stored(t["instances"])
     inst = t["instances"].first()
     listed = f"[('{ONT}hasDeviation', '{ONT}Deficiency')]"
     assert inst["inst_id"] == INST + hashlib.sha1(f"thyroid_source|C0021968|{listed}".encode()).hexdigest()[:12]
     assert inst["label"] == "iodine [deficiency]" and review.count() == 0
-    quads = assertion.assert_documents(t)
+    quads = stored(assertion.assert_documents(t))
     assert quads.count() == 33
     rows = named.run("relations", quads).collect()
     assert [tuple(r) for r in rows] == [("goiter", "caused_by", "iodine [deficiency]", 0.9, 1)]
@@ -112,7 +118,7 @@ def test_governed_variant(spark):
     t = tables(spark)
     kept, review = guards.run(t["relations"], t["spans"], t["chunks"])
     assert [r["polarity"] for r in kept.collect()] == ["uncertain"] and [r["stage"] for r in review.collect()] == ["re-governed-role"]
-    quads = assertion.assert_documents(t | {"relations": kept.select(*t["relations"].columns)})
+    quads = stored(assertion.assert_documents(t | {"relations": stored(kept.select(*t["relations"].columns))}))
     assert quads.where(F.col("g") == model.GRAPH + "thyroid_source/iodine").count() == 5
     assert named.run("relations", quads).count() == 0 and named.run("flagged", quads).count() == 1 == named.run("negated", quads).count()
 
@@ -168,7 +174,7 @@ def test_nquads_round_trip(spark, tmp_path):
 
 def test_scopes(spark):
     t = tables(spark)
-    quads = assertion.assert_documents(t, spark.createDataFrame([("endo", "thyroid_source")], "name string, source_id string"))
+    quads = stored(assertion.assert_documents(t, spark.createDataFrame([("endo", "thyroid_source")], "name string, source_id string")))
     assert graphs.resolve_scopes(quads, sections=("IODINE",)) == (["urn:graph:thyroid_source/iodine"], [])
     assert graphs.resolve_scopes(quads, documents=("thyr",))[0] == ["urn:graph:thyroid_source/iodine"]
     assert graphs.resolve_scopes(quads, groups=("endo",), sections=("nope",)) == ([], ["no section matches 'nope' in urn:graph:thyroid_source"])
@@ -181,7 +187,7 @@ def test_scopes(spark):
 
 
 def test_sparql_equals_plans(spark):
-    triples = graphs.flatten(assertion.assert_documents(tables(spark, [("deviation", "deficiency")])))
+    triples = stored(graphs.flatten(assertion.assert_documents(tables(spark, [("deviation", "deficiency")]))))
     text = """SELECT ?label ?concept ?mentions WHERE { ?concept rdfs:label ?label . OPTIONAL { ?concept ont:mentionCount ?mentions } } ORDER BY DESC(?mentions) ?label"""
     a = [(r["label"], r["concept"], r["mentions"]) for r in sparql.query(triples, text).collect()]
     assert sorted(map(str, a)) == sorted(str((r["label"], r["concept"], None if r["mentions"] is None else str(r["mentions"]))) for r in named.concepts(triples).collect())
