@@ -86,11 +86,11 @@ SELECT p_partkey, CASE WHEN regexp_matches(split_part(n, ' ', 1), '^.\p{Ll}+$')
 
 def _duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
-    chunks = docs.select(F.col("source").alias("source_id"), F.col("doc_id").alias("chunk_id"), F.col("doc_id").alias("seq"), F.lit("prose").alias("kind"), "text")
+    chunks = docs.select(F.coalesce("lang", F.lit("")).alias("source_id"), F.col("doc_id").alias("chunk_id"), F.col("doc_id").alias("seq"), F.lit("prose").alias("kind"), "text")
     return parsing.mark_duplicates(chunks).where("kind = 'duplicate'").select(F.col("chunk_id").alias("doc_id"), "duplicate_of")
 
 
-_DUPLICATES_SQL = r"""WITH d AS (SELECT doc_id, source, sha1(lower(trim(regexp_replace(text, '[\s\x{0B}\x{85}\p{Z}]+', ' ', 'g')))) AS k FROM documents)
+_DUPLICATES_SQL = r"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS source, sha1(lower(trim(regexp_replace(text, '[\s\x{0B}\x{85}\p{Z}]+', ' ', 'g')))) AS k FROM documents)
 SELECT doc_id, f AS duplicate_of FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY source, k) AS f FROM d) WHERE doc_id <> f"""
 
 _OFFSETS_SQL = f"""WITH RECURSIVE r AS (SELECT conv_id, role, length(coalesce(text, '')) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations),
