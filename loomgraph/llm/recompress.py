@@ -47,13 +47,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import U64, mix, window_hashes, word_bounds, word_hashes
+from .kernels import U64, mix, trim, window_hashes, word_bounds, word_hashes
 from .store import fresh_path, partitions
 
 WINDOW = 35
 ROUNDS = 5
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: Bytes of text for each range of names, at most: each range's names fit in a task's memory.
 RANGE = 128 << 20
 _FAR = 1 << 40
@@ -269,6 +269,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", digest: bool = False) ->
         for batch in batches:
             for block, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 yield _send(block, Distinct(symbols(Words(unpack(rows).column(text)))[0]), n)
+            trim()
 
     def send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,6 +282,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", digest: bool = False) ->
                 note[starts] = True
                 note = pa.compress(np.packbits(note).tobytes(), "zstd", asbytes=True)
                 yield pa.RecordBatch.from_arrays([pa.array([block % n], pa.int32()), pa.array([block]), pa.array([_NOTE], pa.int32()), pa.array([note], pa.binary()), pa.array([b""], pa.binary())], names=_SENT)
+            trim()
 
     kept = [f for f in docs.schema.fields if not (digest and f.name == text)]
 
@@ -313,6 +315,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", digest: bool = False) ->
                 columns["kept_sha256" if digest else text] = pa.array(out_text, pa.string())
                 columns |= {"n_words": pa.array(words.counts, pa.int64()), "n_removed": pa.array(removed, pa.int64())}
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            trim()
 
     told = exchange(table.select("block", "rows").mapInArrow(send_symbols, _SENT_SCHEMA)).hint("shuffle_hash")
     told = exchange(table.join(told, "block", "left").select("block", "rows", "answers").mapInArrow(send_windows, _SENT_SCHEMA), wide=True).hint("shuffle_hash")

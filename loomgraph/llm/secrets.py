@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .kernels import trim
+
 KINDS = ("assign", "access", "hex", "guess")
 _ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ASSIGN_WORDS = ("passw", "secret", "token", "api")
@@ -327,5 +329,6 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", vocabula
         known = words(vocabulary)
         for batch in batches:
             yield batch.set_column(at, text, pa.array([clean(x.as_py(), known) for x in batch.column(at)], pa.string()))
+            trim()
 
     return docs.mapInArrow(run, schema)
