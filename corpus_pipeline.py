@@ -1,6 +1,6 @@
 """A training-data pipeline over ``documents``: each stage applies one operator to all that the one before kept.
 
-Every stage is written as Parquet and read again.  All but the last return the
+Every stage is written as Parquet and read again, by itself already, so that it runs under a setting of its own.  All but the last return the
 columns of ``documents``; a stage that changes a text sets ``n_chars`` anew.
 """
 
@@ -13,6 +13,8 @@ from loomgraph.llm import language, neardup, packing, recompress, secrets
 from loomgraph.llm.queries import WORD_BPE
 from loomgraph.llm.store import mark, materialise, release
 
+#: Rows that go to a Python worker at a time; texts are long, and two workers share an executor's memory with its heap.
+BATCH, ROWS_AT_A_TIME = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
 #: Least similarity of near duplicates in percent: five words and 0.8 or more.
 SIMILAR = 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -78,7 +80,21 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, WORD_BPE)
 
 
-STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("long_repeats", long_repeats), ("secret_scan", secret_scan), ("packing", packed)]
+def _bounded(name: str, stage):
+    """``stage`` written by batches of ``ROWS_AT_A_TIME`` rows; the session has its own setting back when it returns."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        before = spark.conf.get(BATCH)
+        spark.conf.set(BATCH, str(ROWS_AT_A_TIME))
+        try:
+            return materialise(stage(spark, docs, sf_dir), name)
+        finally:
+            spark.conf.set(BATCH, before)
+
+    return run
+
+
+STAGES = [(name, _bounded(name, stage)) for name, stage in [("language_id", language_id), ("near_duplicates", near_duplicates), ("long_repeats", long_repeats), ("secret_scan", secret_scan), ("packing", packed)]]
 #: Language mixtures, guess costs and tokenizers have no SQL form; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
@@ -86,7 +102,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; a stage's own tables are removed once the next one's input is written."""
     docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), mark()
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+    for _, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
         release(spark, since, keep=1)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return docs
