@@ -13,36 +13,36 @@ from .model import ONT, PREFIXES
 
 ANY = "*ANY*"
 
-# Relation types as head labels > tail labels (none: no tail), with parents, aliases and inverse names.
-RELATION_LINES = """
-treated_with: Disease > Drug Substance; inverse treats
-prevented_by: Disease > Drug Substance
-caused_by: Disease Finding Morphology > Disease Finding BodyStructure Substance Organism Protein; inverse causes leads_to results_in
-finding_site: Finding Symptom Disease Morphology > BodyStructure Cell CellComponent
-associated_with: Disease Finding Symptom > Disease Finding Symptom BodyStructure Substance; symmetric
-present_in_patient: Disease Finding Symptom
-part_of: BodyStructure Cell CellComponent > BodyStructure Cell AnatomicalSystem; inverse has_part consists_of
-located_in: BodyStructure Cell CellComponent Substance > BodyStructure Cell; inverse contains location_of
-composed_of: BodyStructure > Cell BodyStructure Substance
-connects_to: BodyStructure > BodyStructure; symmetric
-secretes: BodyStructure Cell > Substance Protein; alias produces releases; inverse produced_by secreted_by released_by
-synthesizes: BodyStructure Cell CellComponent Protein > Substance Protein; alias makes; inverse synthesized_by
-stores: BodyStructure Cell CellComponent > Substance Protein; alias holds; inverse stored_in
-transports: BodyStructure Cell Protein Substance > Substance Protein; alias carries; inverse transported_by carried_by
-converts_to: Substance Protein > Substance Protein; inverse converted_from derived_from
-catalyzes: Protein > Substance Protein; alias breaks_down metabolizes; inverse catalyzed_by broken_down_by
-regulates: BodyStructure Cell Substance Protein > BodyStructure Cell Substance Protein Finding; alias acts_on affects modulates; inverse affected_by regulated_by
-stimulates: BodyStructure Cell Substance Protein > BodyStructure Cell Substance Protein Finding; parent regulates; alias activates; inverse stimulated_by activated_by
-inhibits: BodyStructure Cell Substance Protein Drug > BodyStructure Cell Substance Protein Finding; parent regulates; inverse inhibited_by
-requires: BodyStructure Cell Protein Substance > Substance Protein; inverse required_for needed_for
-has_function: BodyStructure Cell Substance Protein > Finding
-risk_factor_for: Disease Finding Substance Drug > Disease
-complication_of: Disease Finding > Disease; parent caused_by
-diagnosed_by: Disease Finding > Finding Substance
-adverse_effect_of: Disease Finding Symptom > Drug Substance
-contraindicated_in: Drug Substance > Disease Finding
-has_mechanism: Drug Substance > Protein Substance Cell CellComponent
-"""
+# Relation types with the labels of their ends (no tail: the type has none), parents, aliases and inverse names.
+RELATIONS = {
+    "treated_with": {"head": ["Disease"], "tail": ["Drug", "Substance"], "inverse": ["treats"]},
+    "prevented_by": {"head": ["Disease"], "tail": ["Drug", "Substance"]},
+    "caused_by": {"head": ["Disease", "Finding", "Morphology"], "tail": ["Disease", "Finding", "BodyStructure", "Substance", "Organism", "Protein"], "inverse": ["causes", "leads_to", "results_in"]},
+    "finding_site": {"head": ["Finding", "Symptom", "Disease", "Morphology"], "tail": ["BodyStructure", "Cell", "CellComponent"]},
+    "associated_with": {"head": ["Disease", "Finding", "Symptom"], "tail": ["Disease", "Finding", "Symptom", "BodyStructure", "Substance"], "symmetric": True},
+    "present_in_patient": {"head": ["Disease", "Finding", "Symptom"], "tail": None},
+    "part_of": {"head": ["BodyStructure", "Cell", "CellComponent"], "tail": ["BodyStructure", "Cell", "AnatomicalSystem"], "inverse": ["has_part", "consists_of"]},
+    "located_in": {"head": ["BodyStructure", "Cell", "CellComponent", "Substance"], "tail": ["BodyStructure", "Cell"], "inverse": ["contains", "location_of"]},
+    "composed_of": {"head": ["BodyStructure"], "tail": ["Cell", "BodyStructure", "Substance"]},
+    "connects_to": {"head": ["BodyStructure"], "tail": ["BodyStructure"], "symmetric": True},
+    "secretes": {"head": ["BodyStructure", "Cell"], "tail": ["Substance", "Protein"], "aliases": ["produces", "releases"], "inverse": ["produced_by", "secreted_by", "released_by"]},
+    "synthesizes": {"head": ["BodyStructure", "Cell", "CellComponent", "Protein"], "tail": ["Substance", "Protein"], "aliases": ["makes"], "inverse": ["synthesized_by"]},
+    "stores": {"head": ["BodyStructure", "Cell", "CellComponent"], "tail": ["Substance", "Protein"], "aliases": ["holds"], "inverse": ["stored_in"]},
+    "transports": {"head": ["BodyStructure", "Cell", "Protein", "Substance"], "tail": ["Substance", "Protein"], "aliases": ["carries"], "inverse": ["transported_by", "carried_by"]},
+    "converts_to": {"head": ["Substance", "Protein"], "tail": ["Substance", "Protein"], "inverse": ["converted_from", "derived_from"]},
+    "catalyzes": {"head": ["Protein"], "tail": ["Substance", "Protein"], "aliases": ["breaks_down", "metabolizes"], "inverse": ["catalyzed_by", "broken_down_by"]},
+    "regulates": {"head": ["BodyStructure", "Cell", "Substance", "Protein"], "tail": ["BodyStructure", "Cell", "Substance", "Protein", "Finding"], "aliases": ["acts_on", "affects", "modulates"], "inverse": ["affected_by", "regulated_by"]},
+    "stimulates": {"head": ["BodyStructure", "Cell", "Substance", "Protein"], "tail": ["BodyStructure", "Cell", "Substance", "Protein", "Finding"], "parent": "regulates", "aliases": ["activates"], "inverse": ["stimulated_by", "activated_by"]},
+    "inhibits": {"head": ["BodyStructure", "Cell", "Substance", "Protein", "Drug"], "tail": ["BodyStructure", "Cell", "Substance", "Protein", "Finding"], "parent": "regulates", "inverse": ["inhibited_by"]},
+    "requires": {"head": ["BodyStructure", "Cell", "Protein", "Substance"], "tail": ["Substance", "Protein"], "inverse": ["required_for", "needed_for"]},
+    "has_function": {"head": ["BodyStructure", "Cell", "Substance", "Protein"], "tail": ["Finding"]},
+    "risk_factor_for": {"head": ["Disease", "Finding", "Substance", "Drug"], "tail": ["Disease"]},
+    "complication_of": {"head": ["Disease", "Finding"], "tail": ["Disease"], "parent": "caused_by"},
+    "diagnosed_by": {"head": ["Disease", "Finding"], "tail": ["Finding", "Substance"]},
+    "adverse_effect_of": {"head": ["Disease", "Finding", "Symptom"], "tail": ["Drug", "Substance"]},
+    "contraindicated_in": {"head": ["Drug", "Substance"], "tail": ["Disease", "Finding"]},
+    "has_mechanism": {"head": ["Drug", "Substance"], "tail": ["Protein", "Substance", "Cell", "CellComponent"]},
+}
 # What each label is also, and the property of each modifier.
 LABEL_PARENTS = {"Drug": "Substance", "Protein": "Substance", "MultiTissueStructure": "BodyStructure", "AnatomicalSystem": "BodyStructure"}
 MODIFIER_PROPERTIES = {
@@ -155,22 +155,19 @@ def _cycles(parents: dict[str, str | None]) -> list[str]:
     return sorted(out)
 
 
-def parse_lines(lines: str) -> Ontology:
-    relations = {}
-    for line in filter(None, map(str.strip, lines.splitlines())):
-        name, _, rest = line.partition(":")
-        ends, *extras = (x.strip() for x in rest.split(";"))
-        head, arrow, tail = ends.partition(">")
-        said = {e.split()[0]: e.split()[1:] for e in extras}
-        relations[name] = RelationType(
-            name, frozenset(head.split()), frozenset(tail.split()) if arrow else None, ONT + name, "symmetric" in said,
-            said.get("parent", [None])[0], tuple(said.get("alias", ())), tuple(said.get("inverse", ())),
-        )
+def of_table(table: dict[str, dict]) -> Ontology:
+    """An ontology from a table like ``RELATIONS``."""
+    relations = {
+        name: RelationType(
+            name, frozenset(r["head"]), None if r["tail"] is None else frozenset(r["tail"]), ONT + name, r.get("symmetric", False), r.get("parent"), tuple(r.get("aliases", ())), tuple(r.get("inverse", ())),
+        )
+        for name, r in table.items()
+    }
     return Ontology(relations)
 
 
 def default() -> Ontology:
-    return parse_lines(RELATION_LINES)
+    return of_table(RELATIONS)
 
 
 def load(path: str | None = None) -> Ontology:

@@ -9,41 +9,41 @@ from ..model import INST, ONT, det_id, local_name
 from ..ontology import ROLE_CHANGING, Ontology, default, expand
 
 # Words and what they qualify a concept as.
-VALUE_LINES = """
-severe sct:24484000
-moderate sct:6736007
-mild sct:255604002
-acute sct:424124008
-substernal sct:51185008
-left arm sct:368208006
-deficiency ont:Deficiency
-deficiencies ont:Deficiency
-deficient ont:Deficiency
-insufficient ont:Deficiency
-insufficiency ont:Deficiency
-inadequate ont:Deficiency
-lack of ont:Deficiency
-depletion ont:Deficiency
-underproduction ont:Deficiency
-hyposecretion ont:Deficiency
-too little ont:Deficiency
-low ont:Deficiency
-excess ont:Excess
-excessive ont:Excess
-excessively ont:Excess
-elevated ont:Excess
-raised ont:Excess
-overproduction ont:Excess
-hypersecretion ont:Excess
-too much ont:Excess
-high ont:Excess
-elevation ont:Excess
-elevations ont:Excess
-resistance ont:Resistance
-resistant ont:Resistance
-unresponsive ont:Resistance
-"""
-VALUES = {line.rpartition(" ")[0]: expand(line.rpartition(" ")[2]) for line in VALUE_LINES.strip().splitlines()}
+VALUE_NAMES = {
+    "severe": "sct:24484000",
+    "moderate": "sct:6736007",
+    "mild": "sct:255604002",
+    "acute": "sct:424124008",
+    "substernal": "sct:51185008",
+    "left arm": "sct:368208006",
+    "deficiency": "ont:Deficiency",
+    "deficiencies": "ont:Deficiency",
+    "deficient": "ont:Deficiency",
+    "insufficient": "ont:Deficiency",
+    "insufficiency": "ont:Deficiency",
+    "inadequate": "ont:Deficiency",
+    "lack of": "ont:Deficiency",
+    "depletion": "ont:Deficiency",
+    "underproduction": "ont:Deficiency",
+    "hyposecretion": "ont:Deficiency",
+    "too little": "ont:Deficiency",
+    "low": "ont:Deficiency",
+    "excess": "ont:Excess",
+    "excessive": "ont:Excess",
+    "excessively": "ont:Excess",
+    "elevated": "ont:Excess",
+    "raised": "ont:Excess",
+    "overproduction": "ont:Excess",
+    "hypersecretion": "ont:Excess",
+    "too much": "ont:Excess",
+    "high": "ont:Excess",
+    "elevation": "ont:Excess",
+    "elevations": "ont:Excess",
+    "resistance": "ont:Resistance",
+    "resistant": "ont:Resistance",
+    "unresponsive": "ont:Resistance",
+}
+VALUES = {words: expand(name) for words, name in VALUE_NAMES.items()}
 OPPOSITES = ((ONT + "Deficiency", ONT + "Excess"),)
 #: Labels whose spans a deviation can change the role of.
 DEVIATES = ("Substance", "Drug", "Protein")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomgraph import model
 from loomgraph.functions import text as T
 from loomgraph.model import CATALOG, INST, LABEL, ONT, RDFS, SNOMED, TYPE
-from loomgraph.ontology import default, parse_lines
+from loomgraph.ontology import default, of_table
 from loomgraph.operators import assertion, graphs, guards, linking, parsing, postcoordination, questions, reasoning
 from loomgraph.operators.extraction import RELATION_REPLY, map_label, parse_reply
 from loomgraph.plans import named, sparql
@@ -227,7 +227,8 @@ def test_ontology(spark):
     assert len(o.relations) == 27 and o.satisfies("Drug", frozenset({"Substance"})) and not o.satisfies(None, frozenset({"Substance"}))
     names = {r["name"]: (r["type"], r["swap"]) for r in o.names(spark).collect()}
     assert names["activates"] == ("stimulates", False) and names["leads_to"] == ("caused_by", True) and len(names) == 27 + 37
-    broken = parse_lines("a: X > Y; parent b\nb: X > Y; parent a\nc: Q > Y; parent zz")
+    ends = {"head": ["X"], "tail": ["Y"]}
+    broken = of_table({"a": ends | {"parent": "b"}, "b": ends | {"parent": "a"}, "c": {"head": ["Q"], "tail": ["Y"], "parent": "zz"}})
     kinds = {(p["kind"], p["name"]) for p in broken.problems(["X", "Y"])}
     assert kinds == {("type-cycle", "a"), ("type-cycle", "b"), ("unknown-parent", "c"), ("unreachable-head", "c")}
 
