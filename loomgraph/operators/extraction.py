@@ -20,6 +20,11 @@ def extractable(chunks: DataFrame, kinds: tuple[str, ...] = EXTRACTABLE) -> Data
     return chunks.where(F.col("kind").isin(*kinds))
 
 
+def passages_of(passages: DataFrame, kind: str) -> DataFrame:
+    """Passages are text that is shown but never extracted from."""
+    return passages.where(F.col("kind") == kind)
+
+
 def last_json(reply: Column) -> Column:
     """The last array or object that a reply holds, reasoning and fences taken off; null if there is none."""
     text = F.regexp_replace(reply, r"(?is)^.*</think(?:ing)?>", "")
@@ -96,6 +101,29 @@ def unanswered(replies: DataFrame, stage: str) -> DataFrame:
     return replies.where("coalesce(trim(reply), '') = ''").select("source_id", "chunk_id", F.lit(f"{stage}-no-response").alias("stage"))
 
 
+def bridge_figures(figures: DataFrame, mentions: DataFrame, links: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Figures with ``depicts`` from the mentions of their captions, and review rows of mentions that link to nothing.
+
+    ``mentions``: source_id, fig_id, seq, text, negated, of an injected recogniser
+    over the captions; of those equal in any case the first counts, and negated
+    ones depict nothing.  ``links``: query (lower-case text), cui, uri, score.
+    """
+    named = mentions.withColumn("query", F.lower(F.trim("text"))).where("query <> ''")
+    # a name's first mention decides for it, unless that is negated
+    first = named.where(~F.coalesce("negated", F.lit(False))).groupBy("source_id", "fig_id", "query").agg(F.min(F.struct("seq", F.trim("text").alias("text"))).alias("m"))
+    rows = first.select("source_id", "fig_id", "query", "m.seq", "m.text")
+    if links is None:
+        rows = rows.select("*", F.lit(None).cast("string").alias("cui"), F.lit(None).cast("string").alias("uri"), F.lit(None).cast("double").alias("score"), F.lit(True).alias("ok"))
+    else:
+        rows = rows.join(links.select("query", "cui", "uri", "score", F.lit(True).alias("ok")), "query", "left")
+    held = F.struct("seq", "text", "cui", "uri", "score")
+    shown = rows.where("ok").groupBy("source_id", "fig_id").agg(F.array_sort(F.collect_list(held)).alias("d"))
+    shown = shown.select("source_id", "fig_id", F.transform("d", lambda x: F.struct(x["text"], x["cui"], x["uri"], x["score"])).alias("_depicts"))
+    out = figures.drop("depicts").join(shown, ["source_id", "fig_id"], "left").withColumnRenamed("_depicts", "depicts")
+    lost = rows.where("ok IS NULL").select("source_id", "fig_id", F.lit("stage5-link").alias("stage"), "text")
+    return out, lost
+
+
 def recognise(chunks: DataFrame, make: Callable[[], Callable[[str], list[tuple[int, int, str]]]], known: dict[str, str] | None = None) -> DataFrame:
     """Spans from an injected recogniser (start, end, label of a text), overlaps settled for the longest, numbered in document order."""
     from .linking import longest_spans

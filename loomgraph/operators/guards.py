@@ -246,6 +246,13 @@ def degenerate_confidence(relations: DataFrame, least: int = DEGENERATE_LEAST, s
     return rows.where((F.col("total") >= least) & (F.col("m.n") / F.col("total") >= share)).select("source_id", "m.value", F.col("m.n").alias("n"), "total")
 
 
+def degenerate_review(relations: DataFrame) -> DataFrame:
+    """A review row for each document whose scores are next to constant."""
+    rows = degenerate_confidence(relations)
+    reason = F.concat_ws(" ", "n", F.lit("of"), "total", F.lit("scores are"), "value")
+    return rows.select("source_id", F.lit("re-degenerate-confidence").alias("stage"), reason.alias("reason"), "value", "n", "total")
+
+
 def report(kept: DataFrame, review: DataFrame) -> DataFrame:
     """Entries of each rule, and the number of relations still affirmed."""
     counts = review.groupBy(F.col("stage").alias("guard")).agg(F.count(F.lit(1)).alias("n"))
@@ -259,7 +266,7 @@ def review_summary(review: DataFrame) -> DataFrame:
     return rows.crossJoin(F.broadcast(total)).select("stage", "code", "n", F.round(100 * F.col("n") / F.col("total"), 1).alias("share"), "example").orderBy(F.desc("n"), "stage", "code")
 
 
-def validate(candidates: DataFrame, spans: DataFrame, chunks: DataFrame, ontology: Ontology | None = None, floor: float = RELATION_FLOOR) -> DataFrame:
+def validate(candidates: DataFrame, spans: DataFrame, chunks: DataFrame, ontology: Ontology | None = None, floor: float = RELATION_FLOOR, carry: tuple[str, ...] = ()) -> DataFrame:
     """Proposed relations with the ``code`` of the first check they fail (null: none) and the place of their evidence.
 
     ``candidates``: source_id, chunk_id, type, head, tail, evidence, confidence.
@@ -296,7 +303,21 @@ def validate(candidates: DataFrame, spans: DataFrame, chunks: DataFrame, ontolog
         .when((F.coalesce("evidence", F.lit("")) == "") | (at == 0) | at.isNull(), "ungrounded-evidence")
     )
     start = F.when(at > 0, F.col("base") + at - 1).cast("int")
-    return rows.select("source_id", "chunk_id", F.coalesce("real", "type").alias("type"), "head", "tail", "confidence", code.alias("code"), start.alias("evidence_start"), (start + F.length("evidence")).cast("int").alias("evidence_end"))
+    return rows.select(*carry, "source_id", "chunk_id", F.coalesce("real", "type").alias("type"), "head", "tail", "confidence", code.alias("code"), start.alias("evidence_start"), (start + F.length("evidence")).cast("int").alias("evidence_end"))
+
+
+def backfill_codes(review: DataFrame, spans: DataFrame, chunks: DataFrame, ontology: Ontology | None = None, floor: float = RELATION_FLOOR) -> DataFrame:
+    """Review rows of rejected relations that hold the reply's item but no code, with the code that today's rules give.
+
+    ``review``: stage, code and the columns that ``validate`` needs; an item that
+    would be accepted now says so, and rows of unknown chunks stay as they are.
+    """
+    keyed = review.withColumn("_row", F.xxhash64("source_id", "chunk_id", "type", "head", "tail", "evidence", "confidence"))
+    open_ = keyed.where((F.col("stage") == "re") & (F.coalesce("code", F.lit("")) == "") & F.col("type").isNotNull()).join(chunks.select("source_id", "chunk_id"), ["source_id", "chunk_id"], "left_semi")
+    asked = open_.select("_row", "source_id", "chunk_id", "type", "head", "tail", "evidence", "confidence").dropDuplicates(["_row"])
+    found = validate(asked, spans, chunks, ontology, floor, ("_row",)).select("_row", F.coalesce("code", F.lit("would-now-pass")).alias("_code"))
+    empty = (F.col("stage") == "re") & (F.coalesce("code", F.lit("")) == "")
+    return keyed.join(found, "_row", "left").withColumn("code", F.when(empty, F.coalesce("_code", "code")).otherwise(F.col("code"))).drop("_row", "_code")
 
 
 def candidate_pairs(spans: DataFrame, ontology: Ontology | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..model import LINK_FLOOR, LINK_K, RERANK_MARGIN, RXNORM, SNOMED, UMLS
@@ -121,6 +121,24 @@ def indexed_concepts(atoms: DataFrame, codes: DataFrame) -> DataFrame:
     return atoms.select("cui").union(codes.select("cui")).distinct()
 
 
+def write_index(atoms: DataFrame, concepts: DataFrame, path: str) -> None:
+    """The vector index as tables: ``atoms`` (cui, vector), made unit length, and ``concepts`` (cui, codes, name, tuis)."""
+    atoms.select("cui", normalise(F.col("vector")).alias("vector")).write.mode("overwrite").parquet(f"{path}/atoms")
+    concepts.write.mode("overwrite").parquet(f"{path}/concepts")
+
+
+def open_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``atoms`` and ``concepts`` of an index."""
+    return spark.read.parquet(f"{path}/atoms"), spark.read.parquet(f"{path}/concepts")
+
+
+def self_retrieval(atoms: DataFrame, every: int = 50) -> DataFrame:
+    """Atoms of an index, one in ``every`` by hash, whose own concept is not what their vector finds."""
+    asked = atoms.withColumn("query", F.concat_ws("|", "cui", F.xxhash64("vector"))).where(F.pmod(F.xxhash64("query"), F.lit(every)) == 0)
+    found = top_k(asked.select("query", "vector"), atoms, k=1)
+    return found.where(F.substring_index("query", "|", 1) != F.col("cui")).where("score < 0.999999").select("query", "cui", "score")
+
+
 def longest_spans(spans: DataFrame) -> DataFrame:
     """Of overlapping entity spans of a chunk the longest, then the first, taken greedily.
 

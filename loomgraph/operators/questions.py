@@ -25,6 +25,12 @@ TEMPLATES = {
 OPTIONS, LONGEST_OPTION, SHARE, LEAST_CAP, LONGEST_STEM = 5, 6, 0.10, 3, 300
 #: Qualities that name nothing and so cannot be answers.
 NOT_ANSWERS = "high low normal abnormal severe mild moderate acute chronic increased decreased elevated reduced common rare active inactive primary secondary positive negative left right".split()
+# Plural and singular last words that no ending tells.
+PLURAL_HEADS = (
+    "viscera", "adnexa", "cristae", "rami", "sulci", "gyri", "septa", "ostia", "fasciae", "lamellae", "papillae", "villi", "alveoli", "bronchi", "nuclei", "glomeruli", "canaliculi",
+    "mitochondria", "data", "criteria", "phenomena", "ganglia", "cilia", "stomata", "foramina", "cornua",
+)
+SINGULAR_HEADS = ("pancreas", "diabetes", "ascites", "series", "species", "faeces", "feces", "herpes")
 _VERB = r"(?i)\b(?:is|are|was|were|has|have|had|can|may|does|do|causes?|leads?|results?|produces?|contains?|increases?|decreases?|stimulates?|inhibits?|secretes?|forms?|occurs?)\b"
 
 
@@ -42,6 +48,12 @@ def is_abbreviation(label: Column) -> Column:
     return (F.length(first) > 0) & (F.length(first) <= 6) & ((capitals >= 2) | (first.rlike(r"^\p{Lu}") & first.rlike("[0-9]")))
 
 
+def is_plural(label: Column) -> Column:
+    """Whether a label takes a plural verb, by its last word."""
+    last = F.lower(F.substring_index(F.trim(label), " ", -1))
+    return last.isin(*PLURAL_HEADS) | (~last.isin(*SINGULAR_HEADS) & last.endswith("s") & ~last.rlike("(?:is|us|ss)$"))
+
+
 def usable(label: Column) -> Column:
     """An option of a few words that names something, with its brackets whole."""
     count = lambda x: F.length(label) - F.length(F.replace(label, F.lit(x), F.lit("")))
@@ -123,6 +135,7 @@ def build(relations: DataFrame, spans: DataFrame, chunks: DataFrame) -> DataFram
 
 def distractors(good: DataFrame, linked: DataFrame, m: DataFrame, blocked: DataFrame) -> DataFrame:
     """The first few candidates of each item by tier and document order."""
+    # The names of the tiers in the output.
     tiers = ("same-role sibling", "antonym of the answer", "same concept, different deviation", "same semantic type")
     ask = good.select("source_id", "rel_id", "type", "h_concept", "t_concept", "t_label", "t_shown", "t_text", "t_q")
     # one span stands for a concept: its first of the label

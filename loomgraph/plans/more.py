@@ -81,6 +81,16 @@ SELECT p_partkey, CASE WHEN regexp_matches(split_part(n, ' ', 1), '^.\p{Ll}+$')
   '1: (' || lower(n) || '.)' AS antonym FROM r"""
 
 
+def _plurals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    endings = F.array(*map(F.lit, ("", "s", "us", "ss", " rami", " pancreas", " pelvis", " bones")))
+    rows = _read(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.element_at(endings, (F.col("p_size") % 8 + 1).cast("int"))).alias("label"))
+    return rows.select("p_partkey", "label", questions.is_plural(F.col("label")).alias("plural"))
+
+
+_PLURALS_SQL = """WITH r AS (SELECT p_partkey, p_name || (['', 's', 'us', 'ss', ' rami', ' pancreas', ' pelvis', ' bones'])[p_size % 8 + 1] AS label, p_size % 8 AS k, p_name FROM part)
+SELECT p_partkey, label, CASE k WHEN 4 THEN true WHEN 7 THEN true WHEN 5 THEN false ELSE regexp_matches(label, 's$') AND NOT regexp_matches(label, '(is|us|ss)$') END AS plural FROM r"""
+
+
 # --- parsing ------------------------------------------------------------------------------------------------------------------------------------------
 
 
@@ -281,6 +291,53 @@ def _validated_sql() -> str:
     return f"WITH c AS ({_CANDIDATES.format(orders='orders')}), r AS ({' UNION ALL '.join(parts)}) SELECT chunk_id, type, head, tail, code, ({at})::INT AS evidence_start, ({at} + length(evidence))::INT AS evidence_end FROM r"
 
 
+def _backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Old review rows without a code, judged by today's rules; rows of other stages or with a code stay."""
+    rows = spark.sql(_CANDIDATES, orders=_read(spark, sf_dir, "orders"))
+    spans = model.union([rows.select("source_id", F.concat(F.lit(x), F.col("chunk_id")).alias("span_id"), F.col(f"{x}_label").alias("label")) for x in "ht"])
+    chunks = rows.where("CAST(chunk_id AS BIGINT) % 9 > 0").select("source_id", "chunk_id", F.col("body").alias("text"), F.lit(100).alias("char_start"))
+    number = F.col("chunk_id").cast("long")
+    review = rows.select("source_id", "chunk_id", "type", "head", "tail", "evidence", "confidence", F.when(number % 5 == 0, "modifier").otherwise("re").alias("stage"), F.when(number % 7 == 0, "old").alias("code"))
+    return guards.backfill_codes(review, spans, chunks).select("chunk_id", "stage", "code")
+
+
+def _backfilled_sql() -> str:
+    inner = _validated_sql()
+    return f"""WITH v AS ({inner}) SELECT chunk_id, CASE WHEN chunk_id::BIGINT % 5 = 0 THEN 'modifier' ELSE 're' END AS stage,
+  CASE WHEN chunk_id::BIGINT % 7 = 0 THEN 'old' WHEN chunk_id::BIGINT % 5 = 0 OR chunk_id::BIGINT % 9 = 0 THEN NULL ELSE coalesce(code, 'would-now-pass') END AS code FROM v"""
+
+
+def _bridged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captions whose words are mentions; links for some of them."""
+    part = _read(spark, sf_dir, "part").select(F.lit("d").alias("source_id"), F.col("p_partkey").cast("string").alias("fig_id"), F.concat_ws(" ", F.initcap("p_name"), "p_name").alias("caption"), F.array().cast("array<struct<text:string,cui:string,uri:string,score:double>>").alias("depicts"))
+    mentions = part.select("source_id", "fig_id", F.posexplode(F.split("caption", " ")).alias("seq", "text")).withColumn("negated", F.col("fig_id").cast("long") % 5 == 0)
+    words = mentions.select(F.lower("text").alias("query")).distinct().where(F.length("query") % 2 == 0)
+    links = words.select("query", F.concat(F.lit("C"), "query").alias("cui"), F.concat(F.lit(SNOMED), "query").alias("uri"), F.lit(1.0).alias("score"))
+    figures, lost = extraction.bridge_figures(part, mentions, links)
+    shown = figures.select("fig_id", F.coalesce(F.array_join(F.transform("depicts", lambda x: F.concat_ws("=", x["text"], x["cui"])), " "), F.lit("")).alias("shown"))
+    return shown.join(lost.groupBy("fig_id").agg(F.count(F.lit(1)).alias("lost")), "fig_id", "left").select("fig_id", "shown", F.coalesce("lost", F.lit(0).cast("long")).alias("lost"))
+
+
+_BRIDGED_SQL = """WITH w AS (SELECT p_partkey AS k, unnest(string_split(p_name, ' ')) AS q, generate_subscripts(string_split(p_name, ' '), 1) AS i FROM part),
+d AS (SELECT k, q, min(i) AS i FROM w WHERE k % 5 > 0 GROUP BY ALL)
+SELECT p_partkey::VARCHAR AS fig_id, coalesce(string_agg(upper(q[1]) || q[2:] || '=C' || q, ' ' ORDER BY i) FILTER (length(q) % 2 = 0), '') AS shown, count(q) FILTER (length(q) % 2 = 1) AS lost FROM part LEFT JOIN d ON k = p_partkey GROUP BY p_partkey"""
+
+
+def _indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index written, opened and searched; and the atoms that do not find themselves, of which there are none."""
+    rows = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("cui"), F.col("embedding").alias("vector"))
+    concepts = rows.select("cui", F.create_map(F.lit("SNOMEDCT_US"), "cui").alias("codes"), F.concat(F.lit("name "), "cui").alias("name"), F.array(F.lit("T1")).alias("tuis"))
+    path = _own(spark, "index")
+    linking.write_index(rows, concepts, path)
+    atoms, held = linking.open_index(spark, path)
+    asked = atoms.where("CAST(cui AS BIGINT) % 100 = 7").select(F.col("cui").alias("query"), "vector")
+    found = linking.top_k(asked, atoms, k=1).join(held, "cui")
+    lost = linking.self_retrieval(atoms, 20).count()
+    return found.select("query", "name", linking.concept_iri(F.col("cui"), F.col("codes")).alias("iri"), F.round("score", 6).alias("score"), F.lit(lost).cast("long").alias("lost"))
+
+
+_INDEXED_SQL = f"SELECT vec_id::VARCHAR AS query, 'name ' || vec_id AS name, '{SNOMED}' || vec_id AS iri, 1.0::DOUBLE AS score, 0::BIGINT AS lost FROM embeddings WHERE vec_id % 100 = 7"
+
 _QUALIFIED = f"""SELECT concat('d', CAST(p_partkey % 5 AS VARCHAR(9))) AS source_id, concat('s', CAST(p_partkey AS VARCHAR(20))) AS span_id, CAST(p_partkey AS BIGINT) AS seq, CASE p_size % 4 WHEN 0 THEN concat('low ', p_name) WHEN 1 THEN concat('hypoxia-', p_name) ELSE p_name END AS text,
   CASE WHEN p_size % 7 = 0 THEN 'Disease' ELSE 'Protein' END AS label, CAST(p_partkey % 30 AS VARCHAR(9)) AS cui, concat('{SNOMED}', CAST(p_partkey % 30 AS VARCHAR(9))) AS uri,
   CASE p_size % 5 WHEN 0 THEN 'deficiency of it' WHEN 1 THEN 'Raised' WHEN 2 THEN 'resistant' WHEN 3 THEN 'odd' ELSE 'severe' END AS word, p_size % 6 = 0 AS twice FROM {{part}}"""
@@ -446,11 +503,12 @@ QUERIES: dict[str, Query] = {
     "texts_marked": _texts, "question_labels": _question_labels, "duplicate_chunks": _duplicates, "parsed_documents": _parsed, "parsed_media": _media, "release_files": _release, "nquads_round_trip": _nquads, "ir_round_trip": _ir,
     "linked": _linked, "longest_spans": _longest, "validated_relations": _validated, "post_coordinated": _qualified, "labels_reconciled": _reconciled, "degenerate_confidence": _degenerate, "replies_read": _replies, "relation_menus": _menus,
     "q_figures": _figures, "media_quads": _media_quads, "sparql_patterns": lambda spark, d: sparql.query(_triples(spark, d), _SPARQL), "sparql_bound": _bound,
+    "codes_backfilled": _backfilled, "figures_bridged": _bridged, "index_round_trip": _indexed, "plural_heads": _plurals,
     "treated_with": lambda spark, d: named.treated_with_drug(_triples(spark, d), f"{SNOMED}1"), "ingested": _ingested,
 }
 ORACLES: dict[str, str] = {
     "texts_marked": _TEXTS_SQL, "text_functions": _TEXT_FUNCTIONS_SQL, "question_labels": _QUESTION_LABELS_SQL, "duplicate_chunks": _DUPLICATES_SQL, "merged_offsets": _OFFSETS_SQL, "parsed_documents": _PARSED_SQL, "parsed_media": _MEDIA_SQL,
     "release_files": _RELEASE_SQL, "nquads_round_trip": _NQUADS_SQL, "ir_round_trip": _IR_SQL, "linked": _LINKED_SQL, "longest_spans": _LONGEST_SQL, "validated_relations": _validated_sql(), "post_coordinated": _QUALIFIED_SQL, "labels_reconciled": _RECONCILED_SQL,
-    "degenerate_confidence": _DEGENERATE_SQL, "replies_read": _REPLIES_SQL, "relation_menus": _menus_sql(), "q_figures": _FIGURES_SQL, "media_quads": _MEDIA_QUADS_SQL, "sparql_patterns": _SPARQL_SQL, "sparql_bound": _BOUND_SQL, "treated_with": _TREATED_SQL,
+    "degenerate_confidence": _DEGENERATE_SQL, "replies_read": _REPLIES_SQL, "relation_menus": _menus_sql(), "q_figures": _FIGURES_SQL, "media_quads": _MEDIA_QUADS_SQL, "sparql_patterns": _SPARQL_SQL, "sparql_bound": _BOUND_SQL, "treated_with": _TREATED_SQL, "codes_backfilled": _backfilled_sql(), "figures_bridged": _BRIDGED_SQL, "index_round_trip": _INDEXED_SQL, "plural_heads": _PLURALS_SQL,
     "ingested": _INGESTED_SQL,
 }
