@@ -67,3 +67,31 @@ def test_one_key_on_two_texts(spark, tmp_path):
     docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     out = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
     assert sorted((x["doc_id"], x["text"]) for x in out) == sorted([(1, text(1)), (2, text(2)), (3, text(3)), (3, text(4)), (4, text(5))])
+
+
+def test_edges(spark, tmp_path):
+    """Empty tables, null keys, texts and labels, and columns whose names the operators use themselves."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, lang_pred string, n string, component_id string, block string"
+    text = lambda k, n=60: " ".join(f"wort{chr(97 + k)}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n))
+    rows = [(None, text(1)), (5, text(1)), (None, text(2)), (7, None), (8, ""), (9, "\n"), (10, text(3, 3000)), (11, text(4)), (11, text(4))]
+    extra = ["x"] * 5
+    for name, kept in (("some", rows), ("none", [])):
+        folder = f"{tmp_path}/{name}"
+        table = spark.createDataFrame([(k, t, "de" if k != 11 else None, None, None, *extra) for k, t in kept], schema)
+        table.coalesce(1).write.parquet(f"{folder}/documents.parquet")
+        out = corpus_pipeline.run(spark, folder)
+        assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(out.columns)
+        got = [x["doc_id"] for x in out.where("piece = 0").collect()]
+        assert sorted(map(str, got)) == (["10", "11", "5", "None"] if kept else [])
+
+
+def test_settings_and_tables(spark, tmp_path):
+    """A run leaves the session's setting as it was, and of its own tables only the last."""
+    from loomgraph.llm import store
+
+    before, since = spark.conf.get(corpus_pipeline.BATCH), store.mark()
+    rows = [(k, f"some words of text number {k} that stand alone here", "en", "s", 10) for k in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert spark.conf.get(corpus_pipeline.BATCH) == before and store.mark() == since + 1
+    assert out.select("doc_id").distinct().count() == 20
