@@ -5,6 +5,9 @@ Expectation-maximisation estimates its proportions from the likelihood of each
 character trigram; the set of languages grows one at a time while the gain in
 log likelihood is above a penalty, so a single-language text keeps one.
 
+Above 4,096 trigrams the distinct ones are weighed by their counts, below each
+counts by itself: the same sums, equal up to rounding.
+
 Defined cases: a null or empty text, or one without a letter, is ``und`` with
 score 0; ties go to the language that sorts first; repeated rows are answered
 separately; an empty table gives an empty result and a model without languages

@@ -21,7 +21,9 @@ threshold are never paired.  No partner or candidate is capped.
 Defined cases: a null text, or one without words, has an empty set and links
 with nothing; a text with fewer words than a shingle is one shingle; texts of
 any length are read whole; repeated rows are one class; rows with a null key are
-left out; an empty table gives an empty result; other columns are not read.
+left out; a key on rows of different texts gives a row for each of them, and as
+links go by key their classes may be mixed up, so such rows should get keys of
+their own first; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

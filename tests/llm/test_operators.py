@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
+import os
 import random
 import re
 import zlib
@@ -227,25 +229,26 @@ def test_guess_costs_of_long_values():
 SECRET = {"assign": r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]+"}
 
 
+def secret_base(t):
+    out = []
+    for k, (kind, pattern) in enumerate(SECRET.items()):
+        for m in re.finditer(pattern, t or "", re.IGNORECASE | re.ASCII if kind == "assign" else re.ASCII):
+            if {"assign": lambda: len(m[2]) >= 6, "access": lambda: len(m[0]) >= 20, "hex": lambda: len(m[0]) >= 24}[kind]():
+                out.append((m.start(), k, kind, m.end()))
+    return [(kind, s, e) for s, _, kind, e in sorted(out)]
+
+
 def test_secret_base_spans_by_brute_force(spark):
     r = random.Random(12)
     bits = ["password", "PassWD", "secret", "token", "api_key", "APIKEY", "apikey", ":", "=", " ", "  ", "'", '"', "AKIA", "A1B2C3D4", "ABCDEFGHIJKLMNOPQRST", "0123456789abcdef", "deadbeef", "Xy9+/_.=-", "short", "é", "\n", "\t", "ſ", "K"]
     texts = ["".join(r.choice(bits) for _ in range(r.choice([2, 5, 12, 40]))) for _ in range(600)]
     texts += [*EDGES, "token=" + "a1B" * 3000, "AKIA" * 400, "a" * 9000, texts[0]]
 
-    def base(t):
-        out = []
-        for k, (kind, pattern) in enumerate(SECRET.items()):
-            for m in re.finditer(pattern, t or "", re.IGNORECASE | re.ASCII if kind == "assign" else re.ASCII):
-                if {"assign": lambda: len(m[2]) >= 6, "access": lambda: len(m[0]) >= 20, "hex": lambda: len(m[0]) >= 24}[kind]():
-                    out.append((m.start(), k, kind, m.end()))
-        return [(kind, s, e) for s, _, kind, e in sorted(out)]
-
     got = {x["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in x["spans"]] for x in secrets.scan_documents(docs(spark, texts), vocabulary=WORD_BPE).collect()}
     assert len(got) == len(texts)
     for d, t in enumerate(texts):
-        assert [x for x in got[d] if x[0] != "guess"] == base(t), t
-    assert sum(len(base(t)) for t in texts) > 100
+        assert [x for x in got[d] if x[0] != "guess"] == secret_base(t), t
+    assert sum(len(secret_base(t)) for t in texts) > 100
     assert secrets.scan_documents(docs(spark, texts).where("false")).count() == 0
 
 
@@ -481,3 +484,48 @@ def test_giant_texts_by_blocks(spark, monkeypatch):
         assert x["ids"] == want[x["doc_id"]] and x["round_trip"], x["doc_id"]
         assert x["ids_crc32"] == zlib.crc32(np.array(x["ids"], "<u4").tobytes())
     assert pieces.encode_documents(docs(spark, texts).where("false"), PIECES).count() == 0
+
+
+TABLES = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="the driver's tables are not here")
+def test_queries_on_the_tables(spark):
+    """The registered queries' own columns (digests, counts, held-out rows) against brute force over the smallest tables."""
+    from loomgraph.llm import queries
+
+    texts = {x["doc_id"]: x["text"] or "" for x in spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text").collect()}
+    rows = lambda name: queries.queries()[name](spark, TABLES).collect()
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    joined = lambda spans: ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+
+    got = {x["doc_id"]: x for x in rows("op1_language_mixture")}
+    assert set(got) == set(texts)
+    for d, t in texts.items():
+        assert got[d]["held_out"] == (zlib.crc32(str(d).encode()) % 4 == 2) and 0 <= got[d]["score"] <= 1
+        assert (got[d]["lang_pred"] == "und") == (not any(c.isalpha() for c in t))
+
+    library = Tokenizer.from_file(WORD_BPE)
+    pieces_ = {}
+    for x in rows("op2_best_fit_packing"):
+        pieces_.setdefault(x["doc_id"], {})[x["piece"]] = (x["start"], x["length"], x["ids_crc32"])
+    for d, t in texts.items():
+        ids = np.array([*library.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        assert pieces_[d] == {k: (k * 2048, len(ids[k * 2048 : (k + 1) * 2048]), zlib.crc32(ids[k * 2048 : (k + 1) * 2048].tobytes())) for k in range(-(-len(ids) // 2048))}
+
+    got = {x["doc_id"]: x for x in rows("op3_secret_guesses")}
+    for d, t in texts.items():
+        base = secret_base(t)
+        assert got[d]["base_sha256"] == sha(joined(base)) and got[d]["n_hex"] == sum(k == "hex" for k, _, _ in base)
+        assert [tuple(x.split(":")) for x in got[d]["spans"].split(",") if x and not x.startswith("guess")] == [(k, str(s), str(e)) for k, s, e in base]
+
+    got = {x["doc_id"]: x for x in rows("op4_recompression")}
+    split = {d: words(t) for d, t in texts.items()}
+    seen = Counter(tuple(w[k : k + 35]) for w in split.values() for k in range(len(w) - 34))
+    for d, w in split.items():
+        gone = {p for k in range(len(w) - 34) if seen[tuple(w[k : k + 35])] > 1 for p in range(k, k + 35)}
+        assert (got[d]["n_words"], got[d]["n_removed"], got[d]["kept_sha256"]) == (len(w), len(gone), sha(" ".join(x for p, x in enumerate(w) if p not in gone)))
+
+    got = {x["doc_id"]: x for x in rows("op8_weak_supervision")}
+    for d, t in texts.items():
+        assert got[d]["base_sha256"] == sha(joined(base_spans(t))), d
