@@ -85,57 +85,63 @@ class Catalog:
             members.select(F.lit("group").alias("kind"), F.concat(F.lit(model.GROUP), "name").alias("uri"), F.col("name").alias("id"), F.col("name").alias("label"), "within"),
         ])
 
-    def find_documents(self, term: str) -> list[str]:
-        """Graphs of documents whose id, graph or title is the term; only without any, those whose title holds it."""
+    def find_documents(self, term: str) -> DataFrame:
+        """Graphs (``uri``) of documents whose id, graph or title is the term; only without any, those whose title holds it."""
         return _find(self.documents, term, ("uri", "id", "label"), ("label", "id"))
 
-    def find_sections(self, term: str, documents: list[str] | None = None) -> list[str]:
-        rows = self.sections if documents is None else self.sections.where(F.col("doc").isin(documents))
+    def find_sections(self, term: str, documents: DataFrame | None = None) -> DataFrame:
+        """Graphs of sections that match, of ``documents`` (``uri``) if given."""
+        rows = self.sections if documents is None else self.sections.join(documents.select(F.col("uri").alias("doc")), "doc", "left_semi")
         return _find(rows, term, ("uri", "id", "label"), ("label",))
 
-    def find_group(self, term: str) -> list[str]:
+    def find_group(self, term: str) -> DataFrame:
+        """Graphs of the documents in a group."""
         rows = self.groups.where((F.lower("name") == term.lower()) | (F.col("name") == slug(F.lit(term)))).where("doc IS NOT NULL")
-        return [r["doc"] for r in rows.select("doc").distinct().orderBy("doc").collect()]
+        return rows.select(F.col("doc").alias("uri")).distinct()
 
     def sections_of(self, document: str) -> DataFrame:
         return self.sections.where(F.col("doc") == document).orderBy("order", "uri")
 
 
-def _find(rows: DataFrame, term: str, exact: tuple[str, ...], loose: tuple[str, ...]) -> list[str]:
+def _find(rows: DataFrame, term: str, exact: tuple[str, ...], loose: tuple[str, ...]) -> DataFrame:
     low = term.lower()
     same, part = F.lit(False), F.lit(False)
     for c in exact:
         same = same | (F.lower(c) == low)
     for c in loose:
         part = part | F.contains(F.lower(c), F.lit(low))
-    hits = rows.where(same).select("uri").orderBy("uri").collect() or rows.where(part).select("uri").orderBy("uri").collect()
-    return [r["uri"] for r in hits]
+    hits = rows.where(same).select("uri")
+    return (rows.where(part).select("uri") if hits.isEmpty() else hits).distinct()
 
 
-def resolve_scopes(quads: DataFrame, documents: tuple[str, ...] = (), sections: tuple[str, ...] = (), groups: tuple[str, ...] = ()) -> tuple[list[str], list[str]]:
-    """Graph names for the terms, and what matched nothing.  Groups and documents add up; sections narrow within them."""
+def resolve_scopes(quads: DataFrame, documents: tuple[str, ...] = (), sections: tuple[str, ...] = (), groups: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
+    """Graphs (``g``) for the terms, and what matched nothing.  Groups and documents add up; sections narrow within them."""
     catalog = Catalog(quads)
-    found: list[str] = []
+    found: list[DataFrame] = []
     problems: list[str] = []
     for kind, terms, find in (("group", groups, catalog.find_group), ("document", documents, catalog.find_documents)):
         for term in terms:
             hits = find(term)
-            if not hits:
+            if hits.isEmpty():
                 problems.append(f"no {kind} matches {term!r}")
-            found += hits
+            found.append(hits)
+    within = model.union(found).distinct() if found else None
     if sections:
-        chosen: set[str] = set()
+        chosen = []
         for term in sections:
-            hits = catalog.find_sections(term, found or None)
-            if not hits:
-                problems.append(f"no section matches {term!r}" + (f" in {', '.join(sorted(set(found)))}" if found else ""))
-            chosen.update(hits)
-        return sorted(chosen), problems
+            hits = catalog.find_sections(term, within)
+            if hits.isEmpty():
+                named = [r["uri"] for r in within.orderBy("uri").limit(20).collect()] if within is not None else []
+                problems.append(f"no section matches {term!r}" + (f" in {', '.join(named)}" if named else ""))
+            chosen.append(hits)
+        return model.union(chosen).distinct().select(F.col("uri").alias("g")), problems
     names = graph_names(quads)
-    inside = F.lit(False)
-    for doc in found:
-        inside = inside | (F.col("g") == doc) | F.col("g").startswith(doc + "/")
-    return sorted(r["g"] for r in names.where(inside).collect()) if found else [], problems
+    if within is None:
+        return names.where("false").select("g"), problems
+    # a document's graphs are its own and those below it
+    parts = F.split("g", "/", -1)
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
+    return names.select("g", F.explode(above).alias("uri")).join(within, "uri", "left_semi").select("g").distinct(), problems
 
 
 def subset(quads: DataFrame, include_inferred: bool = False, **scopes: tuple[str, ...]) -> DataFrame:
@@ -143,7 +149,7 @@ def subset(quads: DataFrame, include_inferred: bool = False, **scopes: tuple[str
     graphs, problems = resolve_scopes(quads, **scopes)
     if problems:
         raise ValueError("; ".join(problems))
-    return select(quads, quads.sparkSession.createDataFrame([(g,) for g in graphs], "g string"), include_inferred)
+    return select(quads, graphs, include_inferred)
 
 
 def subset_name(terms: list[str]) -> str:

@@ -175,9 +175,10 @@ def test_nquads_round_trip(spark, tmp_path):
 def test_scopes(spark):
     t = tables(spark)
     quads = stored(assertion.assert_documents(t, spark.createDataFrame([("endo", "thyroid_source")], "name string, source_id string")))
-    assert graphs.resolve_scopes(quads, sections=("IODINE",)) == (["urn:graph:thyroid_source/iodine"], [])
-    assert graphs.resolve_scopes(quads, documents=("thyr",))[0] == ["urn:graph:thyroid_source/iodine"]
-    assert graphs.resolve_scopes(quads, groups=("endo",), sections=("nope",)) == ([], ["no section matches 'nope' in urn:graph:thyroid_source"])
+    resolved = lambda **k: (lambda g, p: (sorted(r["g"] for r in g.collect()), p))(*graphs.resolve_scopes(quads, **k))
+    assert resolved(sections=("IODINE",)) == (["urn:graph:thyroid_source/iodine"], [])
+    assert resolved(documents=("thyr",))[0] == ["urn:graph:thyroid_source/iodine"]
+    assert resolved(groups=("endo",), sections=("nope",)) == ([], ["no section matches 'nope' in urn:graph:thyroid_source"])
     part = graphs.subset(quads, documents=("Thyroid",))
     assert part.where(F.col("g") == CATALOG).count() > 0 and graphs.describe(part).count() >= 3
     with pytest.raises(ValueError):
