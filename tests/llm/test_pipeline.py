@@ -95,3 +95,24 @@ def test_settings_and_tables(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert spark.conf.get(corpus_pipeline.BATCH) == before and store.mark() == since + 1
     assert out.select("doc_id").distinct().count() == 20
+
+
+def test_stages_leave_their_results_only(spark, tmp_path):
+    """Stages called one by one, as by a caller who writes each result himself, leave one table each, and all of them can still be read."""
+    from pathlib import Path
+
+    from loomgraph.llm import store
+
+    folder = Path(store.shared_folder(spark).removeprefix("file:"))
+    tables = lambda: {p.name for p in folder.iterdir()} if folder.exists() else set()
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    texts = [text(k) for k in range(20)] + [text(0) + " more", text(1) + " " + text(2)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    results = []
+    for name, stage in corpus_pipeline.STAGES:
+        before, since = tables(), store.mark()
+        docs = stage(spark, docs, str(tmp_path))
+        results.append(docs)
+        left = tables() - before
+        assert store.mark() == since + 1 and len(left) == 1 and left.pop().startswith(name)
+    assert [x.select("doc_id").distinct().count() for x in results] == [22, 21, 18, 18, 18]  # the 22nd text is the second and third: all three lose all words
