@@ -256,10 +256,11 @@ def _many(found: Distinct, answers: list[dict], n: int) -> np.ndarray:
     return out[found.back]
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", digest: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", digest: bool = False, verbatim: bool = False) -> DataFrame:
     """``docs`` with ``text`` reduced to its kept words joined by one space, ``n_words`` and ``n_removed``.
 
-    With ``digest`` the text is left out and ``kept_sha256`` given in its place.
+    With ``digest`` the text is left out and ``kept_sha256`` given in its place;
+    with ``verbatim`` a text that loses no word stays as it is, null included.
     """
     docs = docs.drop("n_words", "n_removed", "kept_sha256")
     table = blocks(docs, text)
@@ -307,10 +308,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", digest: bool = False) ->
                 for d, raw in enumerate(words.texts):
                     mask = gone[words.first[d] : words.first[d + 1]]
                     lost = int(np.count_nonzero(mask))
+                    removed.append(lost)
+                    if verbatim and not digest and not lost:
+                        out_text.append(rows.column(text)[d].as_py())
+                        continue
                     own = raw.split()
                     joined = b" ".join(own if not lost else itertools.compress(own, ~mask))
                     out_text.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode("utf-8", "surrogatepass"))
-                    removed.append(lost)
                 columns = {f.name: rows.column(f.name) for f in kept}
                 columns["kept_sha256" if digest else text] = pa.array(out_text, pa.string())
                 columns |= {"n_words": pa.array(words.counts, pa.int64()), "n_removed": pa.array(removed, pa.int64())}

@@ -116,3 +116,18 @@ def test_stages_leave_their_results_only(spark, tmp_path):
         left = tables() - before
         assert store.mark() == since + 1 and len(left) == 1 and left.pop().startswith(name)
     assert [x.select("doc_id").distinct().count() for x in results] == [22, 21, 18, 18, 18]  # the 22nd text is the second and third: all three lose all words
+
+
+def test_long_repeats_stores_texts_once(spark, tmp_path, monkeypatch):
+    """Blocks hold the columns of documents and nothing twice; texts that lose no word keep their blanks, null stays null."""
+    from loomgraph.llm import recompress
+
+    stored, blocks = [], recompress.blocks
+    monkeypatch.setattr(recompress, "blocks", lambda docs, text: stored.append(docs.columns) or blocks(docs, text))
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = ["  two\t\twords \n", None, "", " \n ", f"one  {passage}\n end", f"{passage}\tother", passage, "é\x0bü   x"]
+    docs = spark.createDataFrame([(k, t, "en", "s", -1) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {x["doc_id"]: (x["text"], x["n_chars"]) for x in corpus_pipeline.long_repeats(spark, docs, str(tmp_path)).collect()}
+    want = {0: texts[0], 1: None, 2: "", 3: texts[3], 4: "one end", 5: "other", 7: texts[7]}
+    assert got == {k: (t, None if t is None else len(t)) for k, t in want.items()}
+    assert stored == [list(corpus_pipeline.COLUMNS)]
