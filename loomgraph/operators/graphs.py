@@ -34,9 +34,10 @@ def graph_names(quads: DataFrame) -> DataFrame:
     return quads.where("g IS NOT NULL").select("g").distinct().orderBy("g")
 
 
-def describe(quads: DataFrame) -> DataFrame:
-    """Distinct triples of each graph, largest first."""
-    return quads.where("g IS NOT NULL").distinct().groupBy("g").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "g")
+def describe(quads: DataFrame, distinct: bool = False) -> DataFrame:
+    """Distinct triples of each graph, largest first; ``distinct`` says that the quads are a set already, as a store's are."""
+    rows = quads.where("g IS NOT NULL")
+    return (rows if distinct else rows.distinct()).groupBy("g").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "g")
 
 
 def select(quads: DataFrame, graphs: DataFrame, include_inferred: bool = False, carry: bool = True) -> DataFrame:
@@ -51,15 +52,24 @@ def select(quads: DataFrame, graphs: DataFrame, include_inferred: bool = False,
         own = own.unionByName(quads.where(F.col("g") == INFERRED).select(*model.QUAD_COLUMNS))
     if not carry:
         return own.distinct()
+    kept = own.unionByName(about(quads, graphs))
+    labels = quads.where(F.col("g") == LABELS).select(*model.QUAD_COLUMNS).join(terms(kept).distinct(), "s", "left_semi").select(*model.QUAD_COLUMNS)
+    return kept.unionByName(labels).distinct()
+
+
+def about(quads: DataFrame, graphs: DataFrame) -> DataFrame:
+    """Provenance and catalog rows about ``graphs`` or their documents."""
     parent = F.when(F.col("g").startswith(GRAPH), F.regexp_replace("g", "/[^/]*$", "")).otherwise(F.col("g"))
-    about = graphs.select(F.explode(F.array(F.col("g"), parent)).alias("t")).distinct()
+    named = graphs.select(F.explode(F.array(F.col("g"), parent)).alias("t")).distinct()
     meta = quads.where(F.col("g").isin(PROVENANCE, CATALOG)).select(*model.QUAD_COLUMNS)
-    by_subject = meta.join(about.withColumnRenamed("t", "s"), "s", "left_semi")
-    by_object = meta.where("o_kind <> 'lit'").join(about.withColumnRenamed("t", "o"), "o", "left_semi")
-    kept = own.unionByName(by_subject.select(*model.QUAD_COLUMNS)).unionByName(by_object.select(*model.QUAD_COLUMNS)).distinct()
-    terms = kept.select(F.explode(F.array(F.col("s"), F.col("p"), F.when(F.col("o_kind") != "lit", F.col("o")))).alias("s")).where("s IS NOT NULL").distinct()
-    labels = quads.where(F.col("g") == LABELS).select(*model.QUAD_COLUMNS).join(terms, "s", "left_semi").select(*model.QUAD_COLUMNS)
-    return kept.unionByName(labels).distinct()
+    by_subject = meta.join(named.withColumnRenamed("t", "s"), "s", "left_semi")
+    by_object = meta.where("o_kind <> 'lit'").join(named.withColumnRenamed("t", "o"), "o", "left_semi")
+    return by_subject.select(*model.QUAD_COLUMNS).unionByName(by_object.select(*model.QUAD_COLUMNS))
+
+
+def terms(quads: DataFrame) -> DataFrame:
+    """What quads mention: subjects, predicates and objects that are no literals (``s``, not distinct)."""
+    return quads.select(F.explode(F.array(F.col("s"), F.col("p"), F.when(F.col("o_kind") != "lit", F.col("o")))).alias("s")).where("s IS NOT NULL")
 
 
 class Catalog:
@@ -114,8 +124,11 @@ def _find(rows: DataFrame, term: str, exact: tuple[str, ...], loose: tuple[str,
     return (rows.where(part).select("uri") if hits.isEmpty() else hits).distinct()
 
 
-def resolve_scopes(quads: DataFrame, documents: tuple[str, ...] = (), sections: tuple[str, ...] = (), groups: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
-    """Graphs (``g``) for the terms, and what matched nothing.  Groups and documents add up; sections narrow within them."""
+def resolve_scopes(quads: DataFrame, documents: tuple[str, ...] = (), sections: tuple[str, ...] = (), groups: tuple[str, ...] = (), names: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    """Graphs (``g``) for the terms, and what matched nothing.  Groups and documents add up; sections narrow within them.
+
+    ``names``: rows with all graphs, where ``quads`` has only the catalog's.
+    """
     catalog = Catalog(quads)
     found: list[DataFrame] = []
     problems: list[str] = []
@@ -135,7 +148,7 @@ def resolve_scopes(quads: DataFrame, documents: tuple[str, ...] = (), sections:
                 problems.append(f"no section matches {term!r}" + (f" in {', '.join(named)}" if named else ""))
             chosen.append(hits)
         return model.union(chosen).distinct().select(F.col("uri").alias("g")), problems
-    names = graph_names(quads)
+    names = graph_names(quads if names is None else names)
     if within is None:
         return names.where("false").select("g"), problems
     # a document's graphs are its own and those below it

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import model
 from ..operators import assertion
-from ..sources.tables import materialise
+from ..sources.tables import materialise, release
 
 _SOURCE = "replace(lower(r.r_name), ' ', '-')"
 _ITEMS = f"""
@@ -55,10 +55,13 @@ def oracle(name: str) -> str:
     return SELECTS[name].format(**{t: t for t in TABLES})
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The extraction tables over a folder of the driver's tables."""
+def _held(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The line items with what they refer to, grouped once and stored, and the extraction tables over them."""
     read = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
-    found = {name: spark.sql(sql, **{t: read[t] for t in TABLES if f"{{{t}}}" in sql}) for name, sql in SELECTS.items()}
+    items = materialise(spark.sql(_ITEMS, **{t: read[t] for t in TABLES if t != "part"}), "items")
+    read["items"] = items
+    selects = {name: sql.replace(f"({_ITEMS})", "{items}") for name, sql in SELECTS.items()}
+    found = {name: spark.sql(sql, **{t: read[t] for t in read if f"{{{t}}}" in sql}) for name, sql in selects.items()}
     none = F.lit(None)
     found["chunks"] = found["chunks"].select(
         "source_id", "chunk_id", "seq", "text", "char_start", "char_end", F.array(F.col("heading")).alias("section_path"), "kind", none.cast("array<string>").alias("figure_refs"),
@@ -69,17 +72,29 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.array().cast(model.MODIFIERS).alias("modifiers"), F.regexp_replace("uri", "^.*/", "").alias("cui"), "uri", F.lit(1.0).alias("link_score"), F.lit(None).cast("string").alias("ner_label"),
     )
     found["relations"] = found["relations"].select("source_id", "rel_id", "seq", "head", "tail", "type", "polarity", none.cast("int").alias("evidence_start"), none.cast("int").alias("evidence_end"), "score")
-    return found
+    return items, found
 
 
-_STORES: dict[tuple[str, str], DataFrame] = {}
+def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The extraction tables over a folder of the driver's tables."""
+    return _held(spark, sf_dir)[1]
 
 
-def quads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quad store of a folder, with two declared groups: a table that is built once an application and then read."""
+_STORES: dict[tuple[str, str], assertion.Store] = {}
+
+
+def store(spark: SparkSession, sf_dir: str) -> assertion.Store:
+    """The quad store of a folder, with two declared groups: tables that are built once an application and then read."""
     key = spark.sparkContext.applicationId, sf_dir
     if key not in _STORES:
-        found = tables(spark, sf_dir)
+        items, found = _held(spark, sf_dir)
         groups = found["documents"].select(F.when(F.col("source_id") < "b", "early").otherwise("late").alias("name"), "source_id")
-        _STORES[key] = materialise(assertion.assert_documents(found, groups), "quads")
+        found["spans"] = materialise(found["spans"], "spans")
+        _STORES[key] = assertion.store(found, groups)
+        release(items, found["spans"])
     return _STORES[key]
+
+
+def quads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quads of a folder's store, to be read by predicate."""
+    return store(spark, sf_dir).by_predicate

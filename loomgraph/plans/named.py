@@ -36,17 +36,18 @@ def relations(triples: DataFrame, ontology: Ontology | None = None) -> DataFrame
     stated = stated.join(_of(triples, ONT + "confidence", "stmt", "conf"), "stmt")
     rows = _relation_rows(triples, ontology).join(stated, ["s", "p", "o"], "left")
     out = rows.groupBy("subject", "predicate", "object").agg(F.max(F.expr("try_cast(conf AS double)")).alias("confidence"), F.count_distinct("stmt").alias("extractions"))
-    return out.orderBy("subject", "predicate")
+    return out.orderBy("subject", "predicate", "object")
 
 
 def inferred(triples: DataFrame, ontology: Ontology | None = None) -> DataFrame:
-    return _relation_rows(triples, ontology or default()).select("subject", "predicate", "object").orderBy("subject", "predicate")
+    return _relation_rows(triples, ontology or default()).select("subject", "predicate", "object").orderBy("subject", "predicate", "object")
 
 
 def _assertions(triples: DataFrame) -> DataFrame:
     rows = _typed(triples, ONT + "ClinicalAssertion", "stmt").join(_of(triples, ONT + "about", "stmt", "a"), "stmt").join(_of(triples, ONT + "polarity", "stmt", "pol"), "stmt")
-    target = _of(triples, ONT + "target", "stmt", "t").join(_labels(triples, "t", "tl"), "t", "left")
-    rows = rows.join(target, "stmt", "left").join(_of(triples, ONT + "assertionType", "stmt", "at"), "stmt", "left").join(_labels(triples, "a", "al"), "a", "left")
+    rows = rows.join(_of(triples, ONT + "target", "stmt", "t"), "stmt", "left").join(_of(triples, ONT + "assertionType", "stmt", "at"), "stmt", "left")
+    # all joins on the node come first: the ones with labels need not carry it
+    rows = rows.join(_labels(triples, "t", "tl"), "t", "left").join(_labels(triples, "a", "al"), "a", "left")
     return rows.select(
         local_name(F.col("pol")).alias("polarity"), F.coalesce("al", "a").alias("about"), F.coalesce("tl", "t", F.lit("")).alias("target"), local_name(F.col("at")).alias("assertionType"), "pol",
     )
@@ -77,8 +78,15 @@ def figures(triples: DataFrame) -> DataFrame:
 def instances(triples: DataFrame, namespace: str = INST) -> DataFrame:
     """Properties of all nodes of the instance namespace, once for each of their types."""
     own = triples.where(F.col("s").startswith(namespace))
-    rows = own.where(F.col("p") == TYPE).select("s").join(own.where(F.col("p") != TYPE).select("s", "p", "o"), "s")
-    return rows.select(F.regexp_replace("s", "^.*/", "").alias("instance"), local_name(F.col("p")).alias("property"), F.col("o").alias("value")).orderBy("instance")
+    return unfold(own.groupBy("s").agg(F.collect_set(F.struct("p", "o", "o_kind", "o_dt", "o_lang")).alias("held")))
+
+
+def unfold(subjects: DataFrame) -> DataFrame:
+    """``instances`` of subjects with what is said of each (s, held); a subject is put in order as one row and unfolded there."""
+    typed = F.size(F.filter("held", lambda x: x["p"] == TYPE))
+    said = F.transform(F.filter("held", lambda x: x["p"] != TYPE), lambda x: F.struct(local_name(x["p"]).alias("property"), x["o"].alias("value")))
+    rows = subjects.select(F.regexp_replace("s", "^.*/", "").alias("instance"), typed.alias("n"), said.alias("said")).where("n > 0").orderBy("instance")
+    return rows.select("instance", F.explode(F.flatten(F.array_repeat("said", F.col("n")))).alias("x")).select("instance", "x.property", "x.value")
 
 
 PROVENANCE_PROPERTIES = (DCT + "source", DCT + "hasVersion", PROV + "wasGeneratedBy", PROV + "wasDerivedFrom", PROV + "generatedAtTime", ONT + "snomedVersion")
@@ -95,19 +103,19 @@ def evidence(triples: DataFrame) -> DataFrame:
     rows = rows.join(_of(triples, ONT + "confidence", "stmt", "conf"), "stmt", "left").join(_of(triples, ONT + "extractedBy", "stmt", "extractedBy"), "stmt", "left")
     rows = rows.join(_labels(triples, "s", "sl"), "s", "left").join(_labels(triples, "o", "ol"), "o", "left")
     rows = rows.select(F.coalesce("sl", "s").alias("subject"), local_name(F.col("p")).alias("predicate"), F.coalesce("ol", "o").alias("object"), F.expr("try_cast(conf AS double)").alias("confidence"), "extractedBy")
-    return rows.orderBy(F.desc_nulls_last("confidence"))
+    return rows.orderBy(F.desc_nulls_last("confidence"), "subject", "predicate", "object")  # few confidences: they alone would leave few ranges
 
 
 def about(triples: DataFrame, term: str) -> DataFrame:
     """Edges out of (without labels) and into a concept named by IRI or, in any case, by label; the first of several by IRI."""
     by_iri = triples.where(F.col("s") == term).select(F.col("s").alias("c"), F.lit(0).alias("way"))
     by_label = triples.where((F.col("p") == LABEL) & (F.lower("o") == term.lower())).select(F.col("s").alias("c"), F.lit(1).alias("way"))
-    concept = by_iri.union(by_label).agg(F.min_by("c", F.struct("way", "c")).alias("c")).where("c IS NOT NULL")
-    side = F.broadcast(concept)  # one row
-    out = triples.join(side, F.col("s") == F.col("c")).where(F.col("p") != LABEL).select("p", F.col("o").alias("t"), F.lit("out").alias("direction"))
-    into = triples.join(side, (F.col("o") == F.col("c")) & (F.col("o_kind") != "lit")).select("p", F.col("s").alias("t"), F.lit("in").alias("direction"))
+    # one name, as a constant: so the triples are filtered where they are read, before they become a set
+    concept = F.lit(by_iri.union(by_label).agg(F.min_by("c", F.struct("way", "c")).alias("c")).first()["c"]).cast("string")
+    out = triples.where((F.col("s") == concept) & (F.col("p") != LABEL)).select("p", F.col("o").alias("t"), F.lit("out").alias("direction"))
+    into = triples.where((F.col("o") == concept) & (F.col("o_kind") != "lit")).select("p", F.col("s").alias("t"), F.lit("in").alias("direction"))
     rows = out.union(into).join(_labels(triples, "t", "l"), "t", "left")
-    return rows.select("direction", local_name(F.col("p")).alias("predicate"), F.coalesce("l", "t").alias("other")).orderBy("direction", "predicate")
+    return rows.select("direction", local_name(F.col("p")).alias("predicate"), F.coalesce("l", "t").alias("other")).orderBy("direction", "predicate", "other")
 
 
 def treated_with_drug(triples: DataFrame, disease: str, drug_predicate: str = ONT + "treated_with") -> DataFrame:

@@ -114,6 +114,39 @@ def test_golden_quads(spark):
     assert named.about(graphs.flatten(quads), "GOITER").where("direction = 'out'").count() > 0
 
 
+def exchanges(df):
+    """Keys by which the plan deals rows out."""
+    import re
+
+    return re.findall(r"Exchange (?:hash|range)partitioning\(([^)]*?)(?:, ENSURE_REQUIREMENTS|, \d+\))", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_store_is_a_set_without_dealing_quads(spark):
+    t = tables(spark, relations=[("r001", "s002", "s001", "caused_by", "affirmed", 0, 5, 0.9), ("r002", "s002", "s001", "caused_by", "affirmed", 0, 5, 0.9), ("r003", "s002", "s001", "caused_by", "affirmed", 0, 5, 0.5), ("r004", "s002", "s001", "caused_by", "negated", 0, 5, 0.5), ("r005", "s001", "s009", "caused_by", "affirmed", 0, 5, None), ("r006", "s002", "s001", "stimulates", "affirmed", 0, 5, None)])
+    store = assertion.store(t, spark.createDataFrame([("endo", "thyroid_source")], "name string, source_id string"))
+    whole = sorted(map(str, store.quads.collect()))
+    assert whole == sorted(map(str, store.by_predicate.collect())) and len(whole) == len(set(whole))
+    # one fact stated three times is a triple and a statement with two confidences; one without a score is a triple; two are assertions
+    assert store.quads.where(F.col("g") == model.GRAPH + "thyroid_source/iodine").count() == 1 + 5 + 2 + 1 + 5 + 4
+    assert sorted(map(str, named.unfold(store.subjects(INST)).collect())) == sorted(map(str, named.instances(graphs.flatten(store.quads)).collect()))
+    part, asked = store.subset(sections=("iodine",)), graphs.subset(store.quads, sections=("iodine",))
+    assert sorted(map(str, part.quads.collect())) == sorted(map(str, asked.collect()))
+    with pytest.raises(ValueError):
+        store.subset(sections=("nope",))
+    # counting graphs deals out graph names only, and joins on a node deal out nothing
+    assert all(x.startswith(("g#", "n#")) for x in exchanges(graphs.describe(store.quads, distinct=True)))
+    triples = graphs.load_graph(store.by_predicate, skip=("inferred",))
+    about = lambda p: triples.where(F.col("p") == ONT + p).select("s", F.col("o").alias(p))
+    assert exchanges(about("about").join(about("polarity").hint("merge"), "s").join(about("target").hint("merge"), "s", "left")) == []
+
+
+def test_store_of_a_document_named_as_a_graph(spark):
+    t = {k: v.withColumn("source_id", F.lit("catalog")) for k, v in tables(spark).items()}
+    t["chunks"] = t["chunks"].withColumn("section_id", F.lit(""))
+    rows = assertion.store(t).quads.where(F.col("g") == CATALOG)
+    assert rows.where(F.col("p") == ONT + "caused_by").count() == 1 == rows.where(F.col("p") == ONT + "confidence").count()
+
+
 def test_governed_variant(spark):
     t = tables(spark)
     kept, review = guards.run(t["relations"], t["spans"], t["chunks"])
