@@ -184,6 +184,38 @@ def test_guards(spark):
     assert fired == [("r1", "re-fragment-span"), ("r2", "re-vacuous-endpoint"), ("r3", "re-self-loop")]
 
 
+def test_guards_at_places_beyond_an_int(spark):
+    t, far = tables(spark), 5_000_000_000
+    moved = {k: t[k].withColumns({c: (F.col(c).cast("long") + far) for c in columns}) for k, columns in (("spans", ("char_start", "char_end")), ("chunks", ("char_start", "char_end")), ("relations", ("evidence_start", "evidence_end")))}
+    kept, review = guards.run(moved["relations"], moved["spans"], moved["chunks"])
+    assert [r["polarity"] for r in kept.collect()] == ["uncertain"] and [r["stage"] for r in review.collect()] == ["re-governed-role"]
+
+
+@pytest.mark.parametrize("few", [0, 20_000])
+def test_guards_with_few_and_many_hits(spark, monkeypatch, few):
+    monkeypatch.setattr(guards, "FEW", few)
+    monkeypatch.setattr(guards, "STRETCH", 8)
+    body = "hypothalamus acts on TRH. Later it says TSH and enzyme."
+    spans = [("s001", "hypothalamus", body.find("hypothalamus"), "BodyStructure", "u:h", "C"), ("s002", "TRH", body.find("TRH"), "Substance", "u:r", "C"), ("s003", "TSH", body.find("TSH"), "Substance", "u:s", "C"), ("s004", "acts", body.find("acts"), "Substance", "u:s", "C"), ("s005", "enzyme", body.find("enzyme"), "Protein", "u:e", "C")]
+    relations = [("r1", "s001", "s002", "secretes", "affirmed", 0, 20, 0.9), ("r2", "s002", "s001", "stimulates", "affirmed", 0, 20, 0.9), ("r3", "s001", "s005", "regulates", "affirmed", 0, 20, 0.9), ("r4", "s001", "s003", "regulates", "affirmed", 0, 20, 0.9), ("r5", "s005", "s003", "catalyzes", "affirmed", 26, 50, 0.9), ("r6", "s005", "s003", "converts_to", "affirmed", 26, 50, 0.9)]
+    t = tables(spark, (), spans, relations, body)
+    kept, review = guards.run(t["relations"], t["spans"], t["chunks"])
+    # r4's tail stands elsewhere, but another mention of its concept is in the sentence
+    assert sorted((r["rel_id"], r["stage"]) for r in review.collect()) == [("r2", "re-feedback-loop"), ("r3", "re-evidence-scope"), ("r6", "re-enzyme-as-substrate")]
+    assert {r["rel_id"]: r["polarity"] for r in kept.collect()} == {"r1": "affirmed", "r2": "uncertain", "r3": "uncertain", "r4": "affirmed", "r5": "affirmed", "r6": "uncertain"}
+    assert kept.columns == ["source_id", "rel_id", "seq", "head", "tail", "type", "evidence_start", "evidence_end", "score", "polarity"]
+
+
+def test_guards_leave_no_replaced_table(spark):
+    from pathlib import Path
+
+    t, shared = tables(spark), Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = {x.name for x in shared.iterdir()} if shared.exists() else set()
+    guards.run(t["relations"], t["spans"], t["chunks"])
+    # neither contexts nor the joins before them stay
+    assert not [x.name for x in shared.iterdir() if x.name not in before and x.name.startswith(("context", "heads", "tails", "ends"))]
+
+
 def test_degenerate_confidence(spark):
     rows = spark.createDataFrame([("d", f"r{k}", k, 0.9 if k else 0.5) for k in range(10)] + [("e", f"r{k}", k, 0.9) for k in range(7)], "source_id string, rel_id string, seq long, score double")
     assert [tuple(r) for r in guards.degenerate_confidence(rows).collect()] == [("d", 0.9, 9, 10)]
