@@ -375,6 +375,23 @@ def candidate_pairs(spans: DataFrame, ontology: Ontology | None = None) -> DataF
     return head.join(tail, ["source_id", "chunk_id", "tail_label"]).where("head <> tail").select("source_id", "chunk_id", "head", "tail").distinct()
 
 
+def pair_counts(spans: DataFrame, ontology: Ontology | None = None) -> DataFrame:
+    """How many pairs ``candidate_pairs`` has for each chunk, counted by labels: work grows with the spans, not with their pairs."""
+    spark = spans.sparkSession
+    admitted = (ontology or default()).admitted(spark, hierarchy=False).where("tail_label IS NOT NULL").select("head_label", "tail_label").distinct()
+    # a span's labels together, so one with several counts once
+    held = spans.where("span_id IS NOT NULL AND label IS NOT NULL").groupBy("source_id", "chunk_id", "span_id").agg(F.array_sort(F.collect_set("label")).alias("labels"))
+    kinds = held.groupBy("source_id", "chunk_id", "labels").agg(F.count(F.lit(1)).alias("n"))
+    sets = kinds.select("labels").distinct()
+    heads = sets.select(F.col("labels").alias("a"), F.explode("labels").alias("head_label")).join(F.broadcast(admitted), "head_label")
+    tails = sets.select(F.col("labels").alias("b"), F.explode("labels").alias("tail_label"))
+    joined = F.broadcast(heads.join(tails, "tail_label").select("a", "b").distinct())  # pairs of sets of labels: of the ontology's size
+    side = lambda x, n: kinds.select("source_id", "chunk_id", F.col("labels").alias(x), F.col("n").alias(n))
+    both = side("a", "n_a").join(joined, "a").join(side("b", "n_b"), ["source_id", "chunk_id", "b"])
+    pairs = F.col("n_a") * (F.col("n_b") - F.when(F.col("a") == F.col("b"), 1).otherwise(0))
+    return both.groupBy("source_id", "chunk_id").agg(F.sum(pairs).alias("pairs")).where("pairs > 0")
+
+
 def number(rows: DataFrame, prefix: str, key: str = "source_id", order: str = "seq") -> Column:
     """Per-document counter ids in document order, as ``r001``."""
     return F.format_string(f"{prefix}%03d", F.row_number().over(Window.partitionBy(key).orderBy(order)))

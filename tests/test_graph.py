@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -288,6 +289,20 @@ def test_linking(spark):
     assert sorted(r["span_id"] for r in linking.longest_spans(spans).collect()) == ["s1", "s3"]
 
 
+def test_pair_counts_equal_pairs(spark):
+    labels = ("Drug", "Disease", "Cell", "Finding", "Organism", "Nonsense")
+    rows = [("d", f"c{k % 3}", f"s{k}", labels[k % 6]) for k in range(40)] + [("d", "c0", "s0", "Disease"), ("d", "c0", "s3", "Finding"), ("d", "c9", "s99", "Drug"), ("d", "c1", "s1", None)]
+    spans = spark.createDataFrame(rows, "source_id string, chunk_id string, span_id string, label string")
+    plan = guards.pair_counts(spans)
+    want = guards.candidate_pairs(spans).groupBy("source_id", "chunk_id").count()
+    assert sorted(map(tuple, plan.collect())) == sorted(map(tuple, want.collect()))
+    # 20,000 spans in one chunk are 400 million pairs
+    many = spark.range(20_000).select(F.lit("d").alias("source_id"), F.lit("c").alias("chunk_id"), F.col("id").cast("string").alias("span_id"), F.when(F.col("id") % 2 == 0, "Drug").otherwise("Disease").alias("label"))
+    admitted = {(r["head_label"], r["tail_label"]) for r in default().admitted(spark, hierarchy=False).collect()}
+    n = sum(10_000 * (10_000 - (a == b)) for a in ("Drug", "Disease") for b in ("Drug", "Disease") if (a, b) in admitted)
+    assert [r["pairs"] for r in guards.pair_counts(many).collect()] == [n]
+
+
 def test_ontology(spark):
     o = default()
     assert len(o.relations) == 27 and o.satisfies("Drug", frozenset({"Substance"})) and not o.satisfies(None, frozenset({"Substance"}))
