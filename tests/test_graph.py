@@ -289,6 +289,30 @@ def test_linking(spark):
     assert sorted(r["span_id"] for r in linking.longest_spans(spans).collect()) == ["s1", "s3"]
 
 
+def test_top_k_in_blocks_and_with_ties(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(linking, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(linking, "ATOM_BLOCK", 7)
+    vectors = np.random.default_rng(1).normal(size=(20, 24))
+    rows = [(f"{k + 20 * copy:03d}", (vectors[k] / np.sqrt((vectors[k] ** 2).sum())).tolist()) for copy in range(3) for k in range(20)]
+    atoms = spark.createDataFrame(rows, "cui string, vector array<double>")
+    asked = atoms.where("CAST(cui AS INT) % 5 = 0").select(F.col("cui").alias("query"), "vector")
+    dot = lambda a, b: reduce(lambda all_, xy: all_ + xy[0] * xy[1], zip(a, b), 0.0)  # noqa: E731  sum() would make up for rounding
+    held = dict(rows)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else one task has all blocks
+    try:
+        for own in (False, True):
+            got = {}
+            for r in linking.top_k(asked, atoms, k=4, own_first=own).orderBy("query", "rank").collect():
+                got.setdefault(r["query"], []).append((r["cui"], r["score"]))
+            want = {q: sorted(((c, dot(held[q], v)) for c, v in rows), key=lambda x: (-x[1], own and x[0] != q, x[0]))[:4] for q in held if int(q) % 5 == 0}  # noqa: B023
+            assert got == want
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def test_pair_counts_equal_pairs(spark):
     labels = ("Drug", "Disease", "Cell", "Finding", "Organism", "Nonsense")
     rows = [("d", f"c{k % 3}", f"s{k}", labels[k % 6]) for k in range(40)] + [("d", "c0", "s0", "Disease"), ("d", "c0", "s3", "Finding"), ("d", "c9", "s99", "Drug"), ("d", "c1", "s1", None)]
