@@ -371,3 +371,10 @@ def test_registry_answers(spark):
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).columns == ["subject", "predicate", "object", "confidence", "extractions"]
+
+
+def test_media_quads_are_counted_by_one_distinct_at_a_time(spark):
+    from loomgraph.plans import more
+
+    plan = more.QUERIES["media_quads"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "hashpartitioning(p_partkey" in plan
