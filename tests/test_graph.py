@@ -378,3 +378,11 @@ def test_media_quads_are_counted_by_one_distinct_at_a_time(spark):
 
     plan = more.QUERIES["media_quads"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan and "hashpartitioning(p_partkey" in plan
+
+
+def test_texts_are_made_by_several_tasks(spark, monkeypatch):
+    from loomgraph.plans import more
+
+    monkeypatch.setattr(more, "PART_ROWS", 20)
+    n = spark.read.parquet("/root/testdata/sf0.001/part.parquet").count()
+    assert more.QUERIES["texts_marked"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == max(3, -(-n // 20)) > 1
